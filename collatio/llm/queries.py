@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import quality
+from collatio.llm import mixing, quality, topk
 from collatio.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,55 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), quality.passes("v1").alias("kept"), "failed_bits",
     )
+
+
+@query
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents at 150 % of their words."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "whole_epochs")
+
+
+ORACLES["op1_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS UBIGINT) AS BIGINT) AS k
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM s),
+c AS (SELECT *, CAST([5, 2, 1][CAST((sid - 1) % 3 + 1 AS INT)] AS DOUBLE) AS weight, CAST(source_size AS DOUBLE) * 2 AS cap FROM w),
+l AS (SELECT *, cap / weight AS reach, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 AS budget,
+        coalesce(sum(cap) OVER (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+        sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM c),
+v AS (SELECT (budget - filled) / rest AS level FROM l WHERE reach > (budget - filled) / rest ORDER BY reach, sid LIMIT 1),
+t AS (SELECT source, source_size, coalesce(least(cap, weight * (SELECT level FROM v)), cap) AS target FROM l),
+p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+        CASE WHEN t.source_size > 0 THEN CAST(floor(floor(t.target) / t.source_size) AS BIGINT) ELSE 0 END AS whole_epochs,
+        CASE WHEN t.source_size > 0 THEN CAST(floor(t.target) AS BIGINT) ELSE 0 END AS goal,
+        coalesce(CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS before
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(whole_epochs * size + greatest(0, least(size, goal - whole_epochs * source_size - before)) AS BIGINT) AS taken, source, whole_epochs
+FROM p
+"""
+
+
+@query
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows for each vector whose id is divisible by 50, of all others."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = topk.Index.build(vectors, scale=256.0).search(vectors.where(F.col("id") % 50 == 0), 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLES["op2_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.e, x.e), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

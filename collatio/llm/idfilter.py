@@ -25,27 +25,44 @@ def _positions(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(BITS - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(BITS - 1)).astype(np.int64)
 
 
-def possible(rows: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
-    """The rows of `rows` whose id may be in `ids` (one bigint column), with the same columns."""
-    spark = rows.sparkSession
+def bits_of(ids: DataFrame) -> bytes:
+    """The filter of one bigint column; null ids are in no filter."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.concatenate(_positions(np.asarray(b.column(0).drop_null())))
+            at = np.unique(np.concatenate(_positions(np.asarray(b.column(0).drop_null()))))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64))], names=["word", "mask"])
 
     # At most BITS / 64 rows come to the driver, whatever the input.
     words = ids.mapInArrow(bits, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     table = np.zeros(BITS // 64, np.int64)
     table[np.asarray(words.column("word"))] = np.asarray(words.column("mask"))
-    held = spark.sparkContext.broadcast(table.tobytes())
+    return table.tobytes()
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = np.frombuffer(held.value, np.int64)
-        for b in batches:
-            c = b.column(id_column)
-            x, y = _positions(np.asarray(pc.fill_null(c, 0)))
-            ok = ((t[x >> 6] >> (x & 63)) & (t[y >> 6] >> (y & 63)) & 1).astype(bool) & ~np.asarray(c.is_null())
-            yield b.filter(pa.array(ok))
 
-    return rows.mapInArrow(test, rows.schema)
+def maybe(table: bytes, ids: np.ndarray) -> np.ndarray:
+    """Which ids the filter may hold."""
+    t = np.frombuffer(table, np.int64)
+    x, y = _positions(ids)
+    return ((t[x >> 6] >> (x & 63)) & (t[y >> 6] >> (y & 63)) & 1).astype(bool)
+
+
+def parted(rows: DataFrame, id_column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of `rows` whose id may be in `ids` (one bigint column), and the others, null ids among these."""
+    held = rows.sparkSession.sparkContext.broadcast(bits_of(ids))
+
+    def test(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                c = b.column(id_column)
+                ok = maybe(held.value, np.asarray(pc.fill_null(c, 0))) & ~np.asarray(c.is_null().to_numpy(zero_copy_only=False))
+                yield b.filter(pa.array(ok == wanted))
+
+        return run
+
+    return rows.mapInArrow(test(True), rows.schema), rows.mapInArrow(test(False), rows.schema)
+
+
+def possible(rows: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
+    """The rows of `rows` whose id may be in `ids`."""
+    return parted(rows, id_column, ids)[0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import mixing, neardup, quality, topk
+from collatio.llm import mixing, neardup, quality, substrings, topk
 from collatio.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles are similar by 0.85 or more."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 20-word windows that started before."""
+    kept = substrings.without_repetitions(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

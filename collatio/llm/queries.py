@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import mixing, neardup, quality, substrings, topk
+from collatio.llm import mixing, neardup, packing, quality, substrings, topk
 from collatio.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of 20-word windows that started before."""
     kept = substrings.without_repetitions(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where an installed public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 2048 ids."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())

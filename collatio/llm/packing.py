@@ -135,21 +135,57 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[floa
     return float(best[capacity]), counts
 
 
-def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 3e-4, limit: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+def fitted(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
+    """The patterns of a best-fit packing, longest first, of all pieces of a class at a time, as columns."""
+    bins: list[tuple[int, int, dict[int, int]]] = []  # (room, how many, pattern), by room
+    for c in range(len(sizes) - 1, -1, -1):
+        s, left = int(sizes[c]), int(demand[c])
+        after: list[tuple[int, int, dict[int, int]]] = []
+        for room, many, pattern in bins:
+            each = room // s
+            full = min(many, left // each) if each else 0
+            if full:
+                after.append((room - each * s, full, pattern | {c: each}))
+                left -= full * each
+                many -= full
+            if each and many and left:
+                after.append((room - left * s, 1, pattern | {c: left}))
+                left, many = 0, many - 1
+            if many:
+                after.append((room, many, pattern))
+        each = capacity // s
+        if left // each:
+            after.append((capacity - each * s, left // each, {c: each}))
+        if left % each:
+            after.append((capacity - left % each * s, 1, {c: left % each}))
+        bins = sorted(after, key=lambda x: x[0])
+    columns = np.zeros((len(sizes), len(bins)))
+    for k, (_, _, pattern) in enumerate(bins):
+        for c, n in pattern.items():
+            columns[c, k] = n
+    return columns
+
+
+def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 3e-4, limit: int = 3000) -> tuple[np.ndarray, np.ndarray]:
     """Columns of a near-optimal basis of the cutting-stock program, and how often to use each.
 
-    It stops when the dual bound is within `gap` of the solution.
+    The patterns of a best-fit packing may enter before the knapsack prices others. It stops when
+    the dual bound is within `gap` of the solution, or after `limit` exchanges.
     """
     m = len(sizes)
     columns = np.diag(capacity // sizes).astype(float)
     inverse = np.diag(1.0 / np.diag(columns))
     x = inverse @ demand
     cost = np.ones(m)
+    pool = fitted(sizes, demand.astype(np.int64), capacity)
     for _ in range(limit):
         y = cost @ inverse
         low = int(y.argmin())
+        worth = y @ pool
         if y[low] < -1e-9:  # more pieces than asked for are allowed
             column, price = -np.eye(m)[low], 0.0
+        elif worth.max(initial=0) > 1 + 1e-6:
+            column, price = pool[:, int(worth.argmax())], 1.0
         else:
             value, counts = knapsack(y, sizes, capacity)
             if value <= 1 + gap:

@@ -13,8 +13,9 @@ full sets confirm it.
 Equal sets are one class from the start, told by a digest of the set. Groups that share a key and
 have up to `SMALL` members give all candidates; in a larger one each member first gives its nearest
 other member, and after the components of what that confirms are known, the candidates between
-different components. So a group of copies costs links in proportion to its size, and candidates
-of different components are all confirmed or refuted. Groups of over `BLOCK` members are cut into
+different components, but for those that shingles no other member has already rule out. So a group
+of copies costs links in proportion to its size, and candidates of different components are all
+confirmed or refuted. Groups of over `BLOCK` members are cut into
 blocks, and every two blocks meet in a task.
 
 Null, empty and wordless texts have no set and no links. Fewer words than k: the whole sequence is
@@ -168,20 +169,34 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iter
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _candidates(m: int, far: int, near_only: bool):
-    """Rows (key, i, j, n, block, rep, comp, sig), sorted by key, i and j, to candidate pairs (a, b).
+def _lone(k: int):
+    """Texts to the distinct shingles of a chunk: (shingle, n, rep), n the documents that have it and rep one of them."""
 
-    A pair that shares several keys is a candidate of the first one.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            keys, _ = shingle_sets(b.column("text"), k)
+            bare, first, n = np.unique(keys & np.uint64((1 << (64 - _ROW_BITS)) - 1), return_index=True, return_counts=True)
+            row = (keys[first] >> np.uint64(64 - _ROW_BITS)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bare.view(np.int64)), pa.array(n.astype(np.int64)), b.column("doc_id").take(pa.array(row))], names=["shingle", "n", "rep"])
+
+    return run
+
+
+def _candidates(m: int, far: int, near_only: bool, percent: int):
+    """Rows (key, i, j, n, block, rep, comp, size, lone, sig), sorted by key, i and j, to candidate pairs (a, b).
+
+    A pair that shares several keys is a candidate of the first one. Two sets share at most what either has
+    beside its lone shingles; pairs that can't reach the threshold with that are none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _groups(batches, ("key", "i", "j")):
-            key, i, j, n, block, rep, comp = (np.asarray(b.column(c)) for c in ("key", "i", "j", "n", "block", "rep", "comp"))
+            key, i, j, n, block, rep, comp, size, lone = (np.asarray(b.column(c)) for c in ("key", "i", "j", "n", "block", "rep", "comp", "size", "lone"))
+            common = size - lone
             sig = _matrix(b.column("sig"))
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             group = np.cumsum(new)
-            size = np.bincount(group)[group]
             best, whom = np.full(len(key), far + 1), np.full(len(key), -1)
             out: list[tuple[np.ndarray, np.ndarray]] = []
             at = np.arange(len(key))
@@ -193,6 +208,8 @@ def _candidates(m: int, far: int, near_only: bool):
                     break
                 x, y = at, at + step
                 ok = ((i[x] == j[x]) | (block[x] != block[y])) & (rep[x] != rep[y]) & (comp[x] != comp[y])
+                most = np.minimum(common[x], common[y])
+                ok &= 100 * most >= percent * (size[x] + size[y] - most)
                 x, y = x[ok], y[ok]
                 for s in range(0, len(x), 20_000):
                     p, q = x[s : s + 20_000], y[s : s + 20_000]
@@ -268,7 +285,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     m, far = n_chunks(threshold), reach(threshold)
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     sets = staged(texts.mapInArrow(_sets(k), "doc_id bigint, n_shingles bigint, digest binary, sig binary"), "neardup-sets")
-    classes = staged(sets.where("n_shingles > 0 and doc_id is not null").groupBy("digest", "sig").agg(F.min("doc_id").alias("rep")), "neardup-classes")
+    classes = staged(sets.where("n_shingles > 0 and doc_id is not null").groupBy("digest", "sig", F.col("n_shingles").alias("size")).agg(F.min("doc_id").alias("rep")), "neardup-classes")
     entries = classes.select("rep", "sig").mapInArrow(_keys(m), "rep bigint, key bigint")
     often = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(entries.join(often, "key").select("key", "rep", "n"), "neardup-shared")
@@ -278,20 +295,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
         own = F.pmod(F.xxhash64("rep"), blocks)
         dealt = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         return (
-            dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "block", "rep", "comp", "sig")
+            dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "block", "rep", "comp", "size", "lone", "sig")
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_candidates(m, far, near_only), "a bigint, b bigint")
+            .mapInArrow(_candidates(m, far, near_only, percent), "a bigint, b bigint")
         )
 
-    sigs = classes.select("rep", "sig")
-    first = met(shared.withColumn("comp", F.col("rep")).join(sigs, "rep"), True)
+    sigs = classes.select("rep", "size", "sig")
+    first = met(shared.withColumn("comp", F.col("rep")).join(sigs, "rep").withColumn("lone", F.lit(0).cast("long")), True)
     links = _confirmed(first, texts, k, percent)
     large = shared.where(F.col("n") > SMALL)
     if not large.isEmpty():
         found = components(links)
         labelled = large.join(found, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep"))
         split = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        second = met(labelled.join(split, "key").select("key", "rep", "n", "comp").join(sigs, "rep"), False)
+        members = staged(labelled.join(split, "key").select("key", "rep", "n", "comp"), "neardup-members")
+        reps = members.select(F.col("rep").alias("r")).distinct()
+        own = possible(texts, "doc_id", reps).join(reps, F.col("doc_id") == F.col("r")).select("doc_id", "text")
+        once = own.mapInArrow(_lone(k), "shingle bigint, n bigint, rep bigint").groupBy("shingle").agg(F.sum("n").alias("n"), F.min("rep").alias("rep")).where("n = 1")
+        lone = once.groupBy("rep").agg(F.count("*").alias("lone"))
+        second = met(members.join(sigs, "rep").join(lone, "rep", "left").withColumn("lone", F.coalesce("lone", F.lit(0).cast("long"))), False)
         links = links.unionByName(_confirmed(second, texts, k, percent))
     found = components(links)
     ids = classes.join(found, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("component"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import mixing, neardup, packing, quality, substrings, topk
+from collatio.llm import licenses, mixing, neardup, packing, pii, quality, substrings, topk
 from collatio.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,38 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 2048 ids."""
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.replaced(docs)
+    return out.select("doc_id", F.size("entity_types").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct("entity_types")), ",").alias("types"), "text")
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document by its canonical digest, and those that its lines name."""
+    found = licenses.scanned(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text_digest", "text_license", F.array_join("notice_licenses", ",").alias("notice_licenses"))
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', ' ', 'g')"
+    out = f"(' ' || regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ')".replace("\\\\", "\\")
+    for old, new in licenses.SPELLINGS:
+        out = f"replace({out}, ' {old} ', ' {new} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+ORACLES["op7_license_scan"] = f"""
+WITH k AS (SELECT * FROM (VALUES {", ".join(f"('{d}', '{n}')" for d, n in licenses.CATALOGUE)}) AS t(d, name)),
+c AS (SELECT doc_id, {_canonical_sql("text")} AS c FROM documents),
+w AS (SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) END AS text_digest FROM c),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+m AS (SELECT DISTINCT doc_id, name FROM (SELECT doc_id, sha256({_canonical_sql("line")}) AS d FROM l WHERE regexp_matches(lower(line), '{licenses.NOTICE}')) x JOIN k USING (d)),
+n AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS names FROM m GROUP BY doc_id)
+SELECT w.doc_id, w.text_digest, k.name AS text_license, coalesce(n.names, '') AS notice_licenses
+FROM w LEFT JOIN k ON w.text_digest = k.d LEFT JOIN n ON w.doc_id = n.doc_id
+"""

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from collatio.llm.components import components
 from collatio.llm.idfilter import possible
-from collatio.llm.staging import staged
+from collatio.llm.staging import small_batches, staged
 from collatio.llm.words import Words, chunks, mix, range_hashes
 
 SYMBOLS = 256
@@ -282,6 +282,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     Documents with 100 * intersection >= percent * union are linked, k-word shingles being compared.
     """
     threshold = percent / 100
+    small_batches(docs.sparkSession)
     m, far = n_chunks(threshold), reach(threshold)
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     sets = staged(texts.mapInArrow(_sets(k), "doc_id bigint, n_shingles bigint, digest binary, sig binary"), "neardup-sets")

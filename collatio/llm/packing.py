@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from collatio.llm.staging import staged
+from collatio.llm.staging import small_batches, staged
 from collatio.llm.words import Words, chunks
 
 LENGTH = 2048
@@ -244,6 +244,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def packed(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of each piece of `docs`."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = F.ceil(F.col("length") / QUANTUM).cast("long")
     pieces = staged(texts.mapInArrow(_pieces(path, length), PIECES), "pieces").withColumn("class", kind)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from collatio.llm.staging import small_batches
 from collatio.llm.words import Words, byte_hashes, chunks, mix, per_document
 
 WINDOW = 8
@@ -93,6 +94,7 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
 def measurements(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """`keep` of each row with the measurements of its text."""
     names = [c for c in keep if c not in MEASURES]
+    small_batches(docs.sparkSession)
     source = docs.select(*names, F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

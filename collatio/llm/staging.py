@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -23,9 +25,33 @@ def shared_folder(spark: SparkSession) -> str:
 _local: str | None = None
 
 
+#: Staged folders of this process; results may be lazy, so they stay until it ends.
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _sweep() -> None:
+    for spark, path in _written:
+        with contextlib.suppress(Exception):
+            jvm = spark.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as Parquet and read again: later steps start from these files, also after losing executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Holds the session's Arrow batches to `size` bytes: rows may be long texts, and workers hold copies of a batch."""
+    unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(name)).lower()
+    digits = now.rstrip("bkmg")
+    if int(digits) <= 0 or int(digits) * unit.get(now[len(digits) : len(digits) + 1], 1) > size:
+        spark.conf.set(name, f"{size}b")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from collatio.llm.idfilter import bits_of, maybe, parted
 from collatio.llm.neardup import _groups
-from collatio.llm.staging import shared_folder, staged
+from collatio.llm.staging import shared_folder, small_batches, staged
 from collatio.llm.words import Words, chunks, mix, range_hashes
 
 WINDOW = 20
@@ -216,6 +216,7 @@ def without_repetitions(docs: DataFrame, batches: int = 2) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    small_batches(docs.sparkSession)
     index = Index(docs.sparkSession)
     gone = None
     for k in range(batches if lo is not None else 0):

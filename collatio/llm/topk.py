@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from collatio.llm.staging import staged
+from collatio.llm.staging import small_batches, staged
 
 SAMPLE = 2048
 BLOCK = 2048
@@ -80,6 +80,7 @@ class Index:
     @classmethod
     def build(cls, vectors: DataFrame, scale: float = 1.0) -> Index:
         """Of the columns id and vector of `vectors`."""
+        small_batches(vectors.sparkSession)
         n = vectors.count()
         sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
         points, _ = matrix(sample.column("vector").combine_chunks(), scale)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import licenses, mixing, neardup, packing, pii, quality, substrings, topk
+from collatio.llm import langid, licenses, mixing, neardup, packing, pii, quality, substrings, topk, toxicity
+from collatio.llm.sampling import held_out
 from collatio.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +142,19 @@ n AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS names FROM m GROUP B
 SELECT w.doc_id, w.text_digest, k.name AS text_license, coalesce(n.names, '') AS notice_licenses
 FROM w LEFT JOIN k ON w.text_digest = k.d LEFT JOIN n ON w.doc_id = n.doc_id
 """
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document by a network learnt from the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by automata of the texts that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identified(docs, langid.trained(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

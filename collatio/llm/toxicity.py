@@ -32,6 +32,8 @@ DIM, HIDDEN = 4, 8
 PER_LABEL = 2500
 LONGEST = 32  # characters of a word whose grams are read
 EPOCHS, BATCH, RATE = 8, 256, 0.01
+#: Small samples are read more often, until there are so many steps or epochs.
+STEPS, MOST_EPOCHS = 250, 40
 THRESHOLD = 0.3
 
 
@@ -45,12 +47,12 @@ class Tokens:
         self.word = (h & np.uint64(WORDS - 1)).astype(np.int64)
         start, end = r.start[first], np.minimum(r.end[first], r.start[first] + LONGEST)
         points = mix(r.points.astype(np.uint64) + np.uint64(3))
-        # All runs of 3 characters, and the first 4, 5 and 6 ones, marked as such.
+        # All runs of 3 characters, and the first 3 to 7 ones, marked as such.
         n3 = np.maximum(end - start - 2, 1)
         owner = np.repeat(np.arange(len(start)), n3)
         s3 = start[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n3) - n3, n3)
         grams, owners = [range_hashes(points, s3, np.minimum(s3 + 3, end[owner]))], [owner]
-        for k in (4, 5, 6):
+        for k in (3, 4, 5, 6, 7):
             long = np.flatnonzero(end - start >= k)
             grams.append(mix(range_hashes(points, start[long], start[long] + k) + np.uint64(k)))
             owners.append(long)
@@ -200,17 +202,19 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
     target = y[doc[chosen]].astype(np.float32)
     moments: dict[str, list] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
     step = 0
-    for epoch in range(EPOCHS):
+    batch = min(BATCH, max(32, len(chosen) // 16))
+    epochs = max(EPOCHS, min(MOST_EPOCHS, STEPS * batch // len(chosen)))
+    for epoch in range(epochs):
         turn = rs.permutation(len(chosen))
-        for s in range(0, len(turn), BATCH):
-            t = chosen[turn[s : s + BATCH]]
+        for s in range(0, len(turn), batch):
+            t = chosen[turn[s : s + batch]]
             used, local = np.unique(index[t], return_inverse=True)
             local = local.reshape(len(t), WIDTH)
             sub = _Subset(tokens, used)
             e = sub.inputs(net.words, net.grams)
-            g, de, _ = net.gradients(e, local, target[turn[s : s + BATCH]])
+            g, de, _ = net.gradients(e, local, target[turn[s : s + batch]])
             step += 1
-            rate = RATE * (1 - epoch / EPOCHS)
+            rate = RATE * (1 - epoch / epochs)
             for k, v in net.p.items():
                 m = moments[k]
                 m[0] = 0.9 * m[0] + 0.1 * g[k]
@@ -251,16 +255,29 @@ class _Subset:
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic of x, by Newton's method with a small ridge."""
-    a, b = 1.0, 0.0
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = p * (1 - p) + 1e-6
-        g = np.array([((p - y) * x).sum() + 0.1 * (a - 1), (p - y).sum()])
-        h = np.array([[(w * x * x).sum() + 0.1, (w * x).sum()], [(w * x).sum(), w.sum()]])
-        da, db = np.linalg.solve(h, g)
-        a, b = a - float(np.clip(da, -1, 1)), b - float(np.clip(db, -3, 3))
-    return max(a, 0.05), b
+    """Scale and shift of a logistic of x, by damped Newton steps with a small ridge on the scale."""
+    mid, spread = x.mean(), x.std() + 1e-6
+    u = np.stack([(x - mid) / spread, np.ones(len(x))])
+    rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    ab = np.array([0.0, np.log(rate / (1 - rate))])
+
+    def loss(ab: np.ndarray) -> float:
+        z = ab @ u
+        return float(np.logaddexp(0, -z * (2 * y - 1)).sum() + 0.05 * ab[0] ** 2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(ab @ u, -30, 30)))
+        g = u @ (p - y) + np.array([0.1 * ab[0], 0])
+        h = (u * (p * (1 - p) + 1e-9)) @ u.T + np.diag([0.1, 1e-9])
+        d = np.linalg.solve(h, g)
+        t = 1.0
+        while t > 1e-4 and loss(ab - t * d) > loss(ab):
+            t /= 2
+        ab = ab - t * d
+        if np.abs(t * d).max() < 1e-6:
+            break
+    a = max(ab[0], 1e-3) / spread
+    return float(a), float(ab[1] - a * mid)
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Network | None:

@@ -114,10 +114,12 @@ def mixed_documents(docs: DataFrame, **shares) -> DataFrame:
     marked = docs.withColumn("__mark", F.xxhash64("doc_id", "text", "source"))
     plan = mix(marked, keep=("doc_id", "__mark"), **shares)
     # Equal rows are interchangeable: the k-th of them gets the k-th of their plans.
-    nth = lambda *more: F.row_number().over(Window.partitionBy("doc_id", "__mark").orderBy(*more))
-    plan = plan.withColumn("__n", nth("taken")).select(F.col("doc_id").alias("__d"), F.col("__mark").alias("__m"), "__n", "size", "whole_epochs", "cut_words")
-    rows = marked.withColumn("__n", nth(F.lit(0)))
-    both = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__mark") == F.col("__m")) & (rows["__n"] == plan["__n"]))
+    nth = lambda *more: F.row_number().over(Window.partitionBy("__k", "__mark").orderBy(*more))
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    plan = plan.withColumn("__k", known).withColumn("__p", nth("taken")).select("__k", "__mark", "__p", "size", "whole_epochs", "cut_words")
+    rows = marked.withColumn("__k", known).withColumn("__n", nth(F.lit(0)))
+    # As a range, so that the join is by the window's own keys and the texts are shuffled once.
+    both = rows.join(plan, ["__k", "__mark"]).where((F.col("__n") <= F.col("__p")) & (F.col("__n") >= F.col("__p")))
     pieces = F.concat(F.array_repeat(F.col("size"), F.col("whole_epochs").cast("int")), F.when(F.col("cut_words") > 0, F.array("cut_words")).otherwise(F.array().cast("array<bigint>")))
     taken = both.withColumn("__words", F.explode(pieces))
     text = F.when(F.col("__words") < F.col("size"), first_words(F.col("text"), F.col("__words"))).otherwise(F.col("text"))

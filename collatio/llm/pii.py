@@ -154,3 +154,8 @@ def collisions(found: DataFrame) -> DataFrame:
     shared = found.groupBy("type", F.col("surrogate").alias("value")).agg(F.count("*").alias("n")).where("n > 1").withColumn("what", F.lit("surrogate"))
     torn = found.groupBy("type", F.col("entity").alias("value")).agg(F.count("*").alias("n")).where("n > 1").withColumn("what", F.lit("entity"))
     return shared.unionByName(torn)
+
+
+def fitting(columns: list[str], text: str = "text") -> list[Column]:
+    """The given columns of what `replaced` returns, with n_chars, if it is one, worked out again."""
+    return [F.length(F.col(f"`{text}`")).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in columns]

@@ -15,6 +15,8 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import os
 import zlib
 from bisect import bisect_left, insort
@@ -32,7 +34,7 @@ LENGTH = 2048
 QUANTUM = 4
 END = 1
 #: Words that a worker remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 ROWS_PER_RANGE = 64
 MAX_RANGES = 4096
 
@@ -72,7 +74,7 @@ class Encoder:
             words = [data[s:e].decode() for s, e in zip(w.start[first[new]].tolist(), w.end[first[new]].tolist(), strict=True)]
             found = [e.ids for e in self._encode(words, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+            flat = np.array(list(itertools.chain.from_iterable(found)), np.uint32)
             starts = len(self.flat) + np.cumsum(sizes) - sizes
             self.hashes = np.insert(self.hashes, at[new], distinct[new])
             self.place = np.insert(self.place, at[new], len(self.sizes) + np.arange(len(new)))
@@ -88,9 +90,15 @@ class Encoder:
         return out, offsets
 
 
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    """One for a worker's life, so that words are remembered from task to task."""
+    return Encoder(path)
+
+
 def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         for b in chunks(batches):
             ids, offsets = encoder.ids(Words(b.column("text")))
             tokens = np.diff(offsets)

@@ -2,7 +2,8 @@
 
 Each round first replaces the links of a partition by a forest with the same components, then
 moves every node to the smallest neighbour; the number of rounds grows with the logarithm of the
-longest path. Links stay on the executors; every round is written and read again.
+longest path. Links stay on the executors; every round is written and read again. As soon as a round
+leaves no more than `CONTRACT` links, which a task contracts at a time anyway, one task does the rest.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component): of links (u, v), each node that isn't the least of its component, with that least node."""
     now = staged(links.select("u", "v").mapInArrow(_contract, SCHEMA), "stars")
     mark = None
-    while True:
+    while now.count() > CONTRACT:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.unionByName(now.where("false")).distinct().where("u <> v")
@@ -80,4 +81,6 @@ def components(links: DataFrame) -> DataFrame:
         if new == mark:
             break
         mark = new
+    else:
+        now = now.coalesce(1).mapInArrow(_contract, SCHEMA)
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))

@@ -39,14 +39,16 @@ from collatio.llm.staging import small_batches, staged
 from collatio.llm.words import Words, chunks, mix, range_hashes
 
 SYMBOLS = 256
+#: Symbols of the second signature, of documents in large groups alone.
+WIDE = 1024
 CHUNK = 5
 MISS = 1e-5
 SMALL = 12
 BLOCK = 1024
 #: Bits of a shingle's key that tell the documents of a chunk apart.
 _ROW_BITS = 12
-_A = np.random.RandomState(7).randint(0, 2**31, SYMBOLS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
-_B = np.random.RandomState(8).randint(0, 2**32, SYMBOLS, dtype=np.uint64).astype(np.uint32)
+_A = np.random.RandomState(7).randint(0, 2**31, SYMBOLS + WIDE).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+_B = np.random.RandomState(8).randint(0, 2**32, SYMBOLS + WIDE, dtype=np.uint64).astype(np.uint32)
 
 
 def n_chunks(threshold: float) -> int:
@@ -55,10 +57,10 @@ def n_chunks(threshold: float) -> int:
     return min(SYMBOLS // CHUNK, math.ceil(math.log(MISS) / math.log(1 - hit))) if hit < 1 else 1
 
 
-def reach(threshold: float) -> int:
+def reach(threshold: float, symbols: int = SYMBOLS) -> int:
     """The greatest signature distance of a candidate."""
     p = 1 - threshold
-    return math.ceil(SYMBOLS * p + 4.5 * math.sqrt(SYMBOLS * p * (1 - p))) + 1
+    return math.ceil(symbols * p + 4.5 * math.sqrt(symbols * p * (1 - p))) + 1
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -84,15 +86,16 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.append(edges, len(keys))
 
 
-def signatures(keys: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """SYMBOLS bytes for each row that has shingles, in order."""
+def signatures(keys: np.ndarray, edges: np.ndarray, first: int = 0, symbols: int = SYMBOLS) -> np.ndarray:
+    """Bytes `first` to `first + symbols` of the signature of each row that has shingles, in order."""
     full = np.flatnonzero(edges[1:] > edges[:-1])
     x = (mix(keys << np.uint64(_ROW_BITS)) >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(full), SYMBOLS), np.uint8)
+    out = np.empty((len(full), symbols), np.uint8)
     starts = edges[full]
-    for k in range(SYMBOLS):
+    for i in range(symbols):
+        k = first + i
         low = np.minimum.reduceat(x * _A[k] + _B[k], starts) if len(full) else np.zeros(0, np.uint32)
-        out[:, k] = (mix(low.astype(np.uint64) + np.uint64(k + 1)) >> np.uint64(56)).astype(np.uint8)
+        out[:, i] = (mix(low.astype(np.uint64) + np.uint64(k + 1)) >> np.uint64(56)).astype(np.uint8)
     return out
 
 
@@ -120,7 +123,7 @@ def _sets(k: int):
 def _matrix(column: pa.Array) -> np.ndarray:
     if not len(column):
         return np.zeros((0, SYMBOLS), np.uint8)
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), SYMBOLS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 def _chunk_keys(sig: np.ndarray, m: int) -> np.ndarray:
@@ -182,10 +185,24 @@ def _lone(k: int):
     return run
 
 
+def _wide(k: int):
+    """Texts to their second signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            keys, edges = shingle_sets(b.column("text"), k)
+            full = pa.array(np.flatnonzero(np.diff(edges)))
+            wide = signatures(keys, edges, SYMBOLS, WIDE)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(full), pa.array([w.tobytes() for w in wide], pa.binary())], names=["rep", "wide"])
+
+    return run
+
+
 def _candidates(m: int, far: int, near_only: bool, percent: int):
-    """Rows (key, i, j, n, block, rep, comp, size, lone, sig), sorted by key, i and j, to candidate pairs (a, b).
+    """Rows (key, i, j, n, block, rep, comp, size, lone, sig, wide), sorted by key, i and j, to candidate pairs (a, b).
 
-    A pair that shares several keys is a candidate of the first one. Two sets share at most what either has
+    A pair that shares several keys is a candidate of the first one; a member of a large group looks for its
+    nearest other one in the keys of a chunk or two. Two sets share at most what either has
     beside its lone shingles; pairs that can't reach the threshold with that are none.
     """
 
@@ -194,6 +211,8 @@ def _candidates(m: int, far: int, near_only: bool, percent: int):
             key, i, j, n, block, rep, comp, size, lone = (np.asarray(b.column(c)) for c in ("key", "i", "j", "n", "block", "rep", "comp", "size", "lone"))
             common = size - lone
             sig = _matrix(b.column("sig"))
+            wide = None if near_only else _matrix(b.column("wide"))
+            far_wide = reach(percent / 100, WIDE)
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             group = np.cumsum(new)
@@ -217,6 +236,9 @@ def _candidates(m: int, far: int, near_only: bool, percent: int):
                     d = wrong.sum(1)
                     ok = d <= far
                     p, q, d, wrong = p[ok], q[ok], d[ok], wrong[ok]
+                    if wide is not None and len(p):
+                        ok = (wide[p] != wide[q]).sum(1) <= far_wide
+                        p, q, wrong = p[ok], q[ok], wrong[ok]
                     if near_only:
                         big = n[p] > SMALL
                         for u, v, w in ((p[big], q[big], d[big]), (q[big], p[big], d[big])):
@@ -233,6 +255,9 @@ def _candidates(m: int, far: int, near_only: bool, percent: int):
                 step += 1
             if near_only:
                 u = np.flatnonzero(whom >= 0)
+                place = (_chunk_keys(sig[u], m).view(np.int64) == key[u, None]).argmax(1) // CHUNK if len(u) else u
+                turn = (mix(rep[u].view(np.uint64)) % np.uint64(m)).astype(np.int64)
+                u = u[((place - turn) % m) < 2]
                 out.append((rep[u], rep[whom[u]]))
             if out:
                 a, c = (np.concatenate(z) for z in zip(*out, strict=True))
@@ -296,7 +321,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
         own = F.pmod(F.xxhash64("rep"), blocks)
         dealt = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         return (
-            dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "block", "rep", "comp", "size", "lone", "sig")
+            dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "block", "rep", "comp", "size", "lone", "sig", *(() if near_only else ("wide",)))
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(_candidates(m, far, near_only, percent), "a bigint, b bigint")
         )
@@ -306,16 +331,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     links = _confirmed(first, texts, k, percent)
     large = shared.where(F.col("n") > SMALL)
     if not large.isEmpty():
-        found = components(links)
+        found = staged(components(links), "neardup-first-components")
         labelled = large.join(found, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep"))
         split = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
         members = staged(labelled.join(split, "key").select("key", "rep", "n", "comp"), "neardup-members")
         reps = members.select(F.col("rep").alias("r")).distinct()
-        own = possible(texts, "doc_id", reps).join(reps, F.col("doc_id") == F.col("r")).select("doc_id", "text")
+        own = staged(possible(texts, "doc_id", reps).join(reps, F.col("doc_id") == F.col("r")).select("doc_id", "text"), "neardup-member-texts")
         once = own.mapInArrow(_lone(k), "shingle bigint, n bigint, rep bigint").groupBy("shingle").agg(F.sum("n").alias("n"), F.min("rep").alias("rep")).where("n = 1")
         lone = once.groupBy("rep").agg(F.count("*").alias("lone"))
-        second = met(members.join(sigs, "rep").join(lone, "rep", "left").withColumn("lone", F.coalesce("lone", F.lit(0).cast("long"))), False)
-        links = links.unionByName(_confirmed(second, texts, k, percent))
+        wide = own.mapInArrow(_wide(k), "rep bigint, wide binary").distinct()
+        second = met(members.join(sigs, "rep").join(wide, "rep").join(lone, "rep", "left").withColumn("lone", F.coalesce("lone", F.lit(0).cast("long"))), False)
+        links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(_confirmed(second, texts, k, percent))
     found = components(links)
     ids = classes.join(found, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("component"))
     # A document without a set is its own; a null id has none.

@@ -35,6 +35,8 @@ EPOCHS, BATCH, RATE = 8, 256, 0.01
 #: Small samples are read more often, until there are so many steps or epochs.
 STEPS, MOST_EPOCHS = 250, 40
 THRESHOLD = 0.3
+#: Characters that the fit reads at a time.
+FIT_CHUNK = 400_000
 
 
 class Tokens:
@@ -43,7 +45,7 @@ class Tokens:
     def __init__(self, column: pa.Array) -> None:
         r = Runs(column)
         h, first, self.at = np.unique(r.hashes(), return_index=True, return_inverse=True)
-        self.first = r.first
+        self.first, self.hash = r.first, h
         self.word = (h & np.uint64(WORDS - 1)).astype(np.int64)
         start, end = r.start[first], np.minimum(r.end[first], r.start[first] + LONGEST)
         points = mix(r.points.astype(np.uint64) + np.uint64(3))
@@ -60,6 +62,28 @@ class Tokens:
         order = np.argsort(owner, kind="stable")
         self.gram, self.edges = gram[order].astype(np.int64), np.searchsorted(owner[order], np.arange(len(start) + 1))
 
+    def part(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The gram slots of some distinct tokens, one after another, which of them each belongs to, and how many each has."""
+        size = np.diff(self.edges)[ids]
+        owner = np.repeat(np.arange(len(ids)), size)
+        return self.gram[self.edges[ids][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)], owner, size
+
+    @classmethod
+    def joined(cls, parts: list[tuple[Tokens, np.ndarray]]) -> tuple[Tokens, list[np.ndarray]]:
+        """Some distinct tokens of several chunks as one set, and for each chunk which of it its tokens are."""
+        out = cls.__new__(cls)
+        hashes = np.concatenate([t.hash[ids] for t, ids in parts])
+        out.hash, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        out.word = np.concatenate([t.word[ids] for t, ids in parts])[first]
+        pieces = [t.part(ids) for t, ids in parts]
+        gram, size = np.concatenate([p[0] for p in pieces]), np.concatenate([p[2] for p in pieces])
+        begin = np.cumsum(size) - size
+        n = size[first]
+        owner = np.repeat(np.arange(len(first)), n)
+        out.gram = gram[begin[first][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)]
+        out.edges = np.concatenate([[0], np.cumsum(n)])
+        return out, np.split(at, np.cumsum([len(ids) for _, ids in parts])[:-1])
+
     def inputs(self, words: np.ndarray, grams: np.ndarray) -> np.ndarray:
         """The input vector of each distinct token, and a last one of zeros for what is past a text's end."""
         out = np.zeros((len(self.word) + 1, words.shape[1] + grams.shape[1]), np.float32)
@@ -166,40 +190,72 @@ class Network:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """The score of each text: its highest window's logit, calibrated."""
-        logit, doc = self.logits(Tokens(column))
-        top = np.full(len(column), -np.inf)
+        return 1 / (1 + np.exp(-(self.scale * self.highest(Tokens(column), len(column)) + self.shift)))
+
+    def highest(self, tokens: Tokens, n: int) -> np.ndarray:
+        """The logit of the highest window of each of n documents."""
+        logit, doc = self.logits(tokens)
+        top = np.full(n, -np.inf)
         np.maximum.at(top, doc, logit)
-        return 1 / (1 + np.exp(-(self.scale * top + self.shift)))
+        return top
 
 
-def _log_odds(slots: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
-    """How much more often toxic documents hold a slot than others do."""
-    n = [np.zeros(size), np.zeros(size)]
-    for s, label in zip(slots, y, strict=True):
-        n[int(label)][np.unique(s)] += 1
-    a, b = ((k + 0.5) / (max(1, (y == v).sum()) + 1) for v, k in ((1, n[1]), (0, n[0])))
-    seen = n[0] + n[1]
+def _log_odds(counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How much more often toxic documents hold a slot than others do, from how many of each label hold it."""
+    a, b = ((counts[v] + 0.5) / (max(1, (y == v).sum()) + 1) for v in (1, 0))
+    seen = counts.sum(0)
     return (np.log(a / b) * (seen / (seen + 4))).astype(np.float32)
 
 
+class _Kept:
+    """What is kept of a chunk's tokens."""
+
+    def __init__(self, tokens: Tokens, ids: np.ndarray) -> None:
+        self.hash, self.word = tokens.hash[ids], tokens.word[ids]
+        self.gram, _, size = tokens.part(ids)
+        self.edges = np.concatenate([[0], np.cumsum(size)])
+
+    part = Tokens.part
+
+
 def fit(texts: list[str], y: np.ndarray) -> Network | None:
-    """A network of labelled texts, or None if they have one label only."""
+    """A network of labelled texts, or None if they have one label only. Texts are read in small chunks."""
     if not (0 < y.sum() < len(y)):
         return None
     rs = np.random.RandomState(5)
-    tokens = Tokens(pa.array(texts, pa.string()))
-    index, doc = tokens.windows()
-    own = [np.unique(tokens.at[a:b]) for a, b in zip(tokens.first[:-1], tokens.first[1:], strict=True)]
+    cuts = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // FIT_CHUNK)) + 1
+    ranges = list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True))
+    read = lambda a, b: Tokens(pa.array(texts[a:b], pa.string()))
+    holds_word, holds_gram = np.zeros((2, WORDS)), np.zeros((2, GRAMS))
+    for a, b in ranges:
+        t = read(a, b)
+        for d in range(b - a):
+            own = np.unique(t.at[t.first[d] : t.first[d + 1]])
+            holds_word[y[a + d], np.unique(t.word[own])] += 1
+            holds_gram[y[a + d], np.unique(t.part(own)[0])] += 1
     words, grams = (0.05 * rs.randn(k, DIM).astype(np.float32) for k in (WORDS, GRAMS))
-    words[:, 0] = _log_odds([tokens.word[o] for o in own], y, WORDS)
-    grams[:, 0] = _log_odds([np.concatenate([tokens.gram[tokens.edges[i] : tokens.edges[i + 1]] for i in o]) if len(o) else np.zeros(0, np.int64) for o in own], y, GRAMS)
+    words[:, 0], grams[:, 0] = _log_odds(holds_word, y), _log_odds(holds_gram, y)
     net = Network(words, grams)
-    guess = tokens.inputs(words[:, :1], grams[:, :1]).max(1)[index].max(1)
-    order = np.lexsort((-guess, doc))
-    first = np.searchsorted(doc[order], np.arange(len(y)))
-    count = np.bincount(doc, minlength=len(y))
-    chosen = np.concatenate([order[first], order[first + (rs.rand(len(y)) * count).astype(np.int64)][y == 0]])
-    target = y[doc[chosen]].astype(np.float32)
+    kept: list[tuple[_Kept, np.ndarray]] = []
+    places: list[np.ndarray] = []
+    goals: list[np.ndarray] = []
+    for a, b in ranges:
+        t = read(a, b)
+        index, doc = t.windows()
+        guess = t.inputs(words[:, :1], grams[:, :1]).max(1)[index].max(1)
+        order = np.lexsort((-guess, doc))
+        first, count = np.searchsorted(doc[order], np.arange(b - a)), np.bincount(doc, minlength=b - a)
+        other = order[first + (rs.rand(b - a) * count).astype(np.int64)]
+        chosen = np.concatenate([order[first], other[y[a:b] == 0]])
+        used, local = np.unique(index[chosen], return_inverse=True)
+        real = used[used < len(t.word)]
+        kept.append((_Kept(t, real), np.arange(len(real))))
+        places.append(local.reshape(len(chosen), WIDTH))
+        goals.append(y[a:b][doc[chosen]])
+    tokens, ids = Tokens.joined(kept)
+    index = np.concatenate([np.append(i, len(tokens.word))[p] for i, p in zip(ids, places, strict=True)])
+    target = np.concatenate(goals).astype(np.float32)
+    chosen = np.arange(len(index))
     moments: dict[str, list] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
     step = 0
     batch = min(BATCH, max(32, len(chosen) // 16))
@@ -221,9 +277,7 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
                 m[1] = 0.999 * m[1] + 0.001 * g[k] ** 2
                 v -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
             sub.update(net, de, rate)
-    logit, doc = net.logits(tokens)
-    top = np.full(len(y), -np.inf)
-    np.maximum.at(top, doc, logit)
+    top = np.concatenate([net.highest(read(a, b), b - a) for a, b in ranges])
     net.scale, net.shift = _calibrated(top, y)
     return net
 
@@ -235,10 +289,8 @@ class _Subset:
         self.tokens, self.used = tokens, used
         self.real = used < len(tokens.word)
         ids = used[self.real]
-        size = np.diff(tokens.edges)[ids]
-        self.owner = np.repeat(np.arange(len(ids)), size)
-        self.gram = tokens.gram[tokens.edges[ids][self.owner] + np.arange(len(self.owner)) - np.repeat(np.cumsum(size) - size, size)]
-        self.word, self.size = tokens.word[ids], size
+        self.gram, self.owner, self.size = tokens.part(ids)
+        self.word = tokens.word[ids]
 
     def inputs(self, words: np.ndarray, grams: np.ndarray) -> np.ndarray:
         out = np.zeros((len(self.used), 2 * DIM), np.float32)

@@ -122,3 +122,27 @@ def chapter_starts(candidates: DataFrame, titles: DataFrame, keys: Sequence[str]
 def checked(df: DataFrame, condition: Column, message: str) -> DataFrame:
     """`df`, which fails when it is read if a row doesn't meet the condition."""
     return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+
+
+def boundary_map(lines: DataFrame, contents_lines: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
+    """Chapters of a book with their title, first and last page and part, from its lines and those of its contents.
+
+    Fails when it is read if a chapter of the contents begins nowhere or printed and PDF pages aren't a constant apart.
+    """
+    from collatio.operators.aggregates import upper_median
+    from collatio.operators.geometry import clipped_ends
+
+    k = list(keys)
+    found = entries(joined_entries(contents_lines, keys))
+    chapters = found.where("kind = 'chapter'").select(*k, F.col("number").cast("int").alias("number"), "title", F.col("printed_page").cast("int").alias("printed_page"))
+    body = upper_median(lines, "size", keys)
+    threshold = F.greatest(F.col("upper_median") * 1.5, F.col("upper_median") + 4)
+    heads = heading_candidates(lines.join(body, k).withColumn("__t", threshold), F.col("__t"), keys)
+    placed = chapters.join(chapter_starts(heads, chapters, keys), [*k, "number"], "left")
+    placed = checked(placed, F.col("pdf_page").isNotNull(), "a chapter of the contents begins on no page")
+    offset = placed.groupBy(*k).agg(F.count_distinct(F.col("pdf_page") - F.col("printed_page")).alias("__offsets"))
+    placed = checked(placed.join(offset, k), F.col("__offsets") == 1, "printed and PDF pages are not a constant apart").drop("__offsets")
+    parts = found.where("kind = 'part'").select(*k, F.col("printed_page").cast("int").alias("__p"), roman_number(F.col("number")).alias("number"))
+    shift = placed.groupBy(*k).agg(F.first(F.col("pdf_page") - F.col("printed_page")).alias("__d"))
+    dividers = parts.join(shift, k).select(*k, "number", (F.col("__p") + F.col("__d")).alias("pdf_page"))
+    return part_of(clipped_ends(placed, dividers, keys).drop("next_page", "divider"), dividers, keys)

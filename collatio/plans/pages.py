@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.functions import kernel
-from collatio.operators import aggregates, contents, emit, layout, reconcile
+from collatio.operators import aggregates, contents, emit, equations, layout, reconcile
 from collatio.plans import samples
 from collatio.plans.registry import query
 from collatio.sources import readers
@@ -188,3 +188,35 @@ def lost_numbers(spark: SparkSession, d: str) -> DataFrame:
     ours = spark.createDataFrame([("b", "we have 3 and 5")], "book_id string, text string")
     theirs = spark.createDataFrame([("b", "marker", "3 and . 8")], "book_id string, source string, text string")
     return reconcile.lost_numbers(ours, theirs, ["book_id"]).select("source", "number", "missing")
+
+
+@query(r"""SELECT * FROM (VALUES (1, 'a < b \tag{14.1}', '14.1', 'eq-14-1'), (2, 'x \tag{2.3}', '2.3', 'eq-2-3'), (3, '\text{words only} \tag{1.2}', '1.2', 'eq-1-2'), (6, 'y', NULL, NULL)) AS t(id, latex, label, anchor)""")
+def equation_parse(spark: SparkSession, d: str) -> DataFrame:
+    """A label behind a quad, one of its own, words with one; prose, several formulas in a table and broken LaTeX are left out."""
+    h = [
+        (1, r"<p><math>a &lt; b \quad (14.1)</math></p>"), (2, "<table><math>x</math><td><math>(2.3)</math></td></table>"), (3, "<p>words only, (1.2)</p>"),
+        (4, "<p>where <math>x</math> holds</p>"), (5, "<table><math>x</math><math>y</math></table>"), (6, "<math>y</math>"), (7, r"<math>\begin{array}{c}</math>"), (8, "<p>no label</p>"),
+    ]
+    return equations.equations(spark.createDataFrame(h, "id int, html string"), ["id"])
+
+
+@query("SELECT 6 AS chapter, '6.1' AS figures, '6.1' AS sections, 2 AS exercises, 1 AS footnotes")
+def structural_census(spark: SparkSession, d: str) -> DataFrame:
+    """The literal book, with exercises behind their heading: 1, 2, then 9, which isn't the next one."""
+    rows, _ = _facts(spark)
+    more = [("book", 6, 3, 1, "6.9 Exercises", 14.0, 50.0), ("book", 6, 3, 2, "1. Show that", 10.0, 80.0), ("book", 6, 3, 3, "2. Explain", 10.0, 95.0), ("book", 6, 3, 4, "9. No exercise", 10.0, 110.0), ("book", 6, 1, 99, "7. before the heading", 10.0, 70.0)]
+    extra = spark.createDataFrame(more, "book_id string, chapter int, page int, id long, text string, size double, y0 double").withColumn("page_height", F.lit(792.0))
+    s = equations.structures(rows.select(extra.columns).unionByName(extra), F.lit(10.0))
+    return s.select("chapter", F.array_join("figures", ",").alias("figures"), F.element_at("sections", 1).alias("sections"), "exercises", "footnotes")
+
+
+@query("SELECT * FROM (VALUES (1, 'Overview', 10, 14, 1), (2, 'Graphs', 16, NULL, 2)) AS t(number, title, pdf_page, pdf_page_end, part)")
+def boundary_map(spark: SparkSession, d: str) -> DataFrame:
+    """Two chapters of a part; the divider of the next part ends the first one early."""
+    toc = [(1, "I   First    1"), (2, "1  Overview     2"), (3, "II   Second    7"), (4, "2  Graphs     8")]
+    big = [(10, "Overview"), (16, "Graphs")]
+    ls = [("b", p, 1, t, 20.0) for p, t in big] + [("b", p, n, "text", 10.0) for p in range(9, 18) for n in range(2, 6)]
+    lines = spark.createDataFrame(ls, "book_id string, page int, line_no int, text string, size double")
+    contents_lines = spark.createDataFrame([("b", n, t) for n, t in toc], "book_id string, line_no int, text string")
+    found = contents.boundary_map(lines, contents_lines)
+    return found.select("number", "title", "pdf_page", "pdf_page_end", "part")

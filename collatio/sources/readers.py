@@ -32,7 +32,7 @@ def read_json(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, root: str, pattern: str = "*.md", name: str = "markdown") -> DataFrame:
     """path under `root` and content of all files of a kind."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     base = root.rstrip("/").split("://", 1)[-1].split(":", 1)[-1]
     return files.select(F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/*", "/"), f"^.*?{base.rstrip('/')}/", "").alias("path"), F.col("value").alias(name))
 

@@ -167,7 +167,7 @@ class Index:
             for s in range(0, len(qi), 256):
                 sc = scores(vq[s : s + 256], vx)
                 own = qi[s : s + 256, None] == xi
-                sc = np.where(own, np.iinfo(np.int64).min, sc)
+                sc = np.where(own, np.iinfo(np.int64).min + 1, sc)  # its negative sorts last
                 best = np.argsort(-sc, axis=1, kind="stable")[:, :k]  # stable: ties stay by id
                 got = np.take_along_axis(sc, best, 1)
                 ok = ~np.take_along_axis(own, best, 1)

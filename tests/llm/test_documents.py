@@ -227,11 +227,11 @@ def test_windows_within_a_document(spark):
 
 
 def test_compaction_keeps_the_answer(spark):
-    rows = [(i, " ".join(f"w{i // 2 * 50 + j}" for j in range(60)), "en", "a") for i in range(12)]
+    rows = [(i, " ".join(f"w{i // 2 * 40 + j}" for j in range(60)), "en", "a") for i in range(12)]
     d = hard.documents(spark, rows).select("doc_id", "text")
     index = substrings.Index(spark, fanout=2, buckets=3)
     n = [index.ingest(d.where(f"doc_id between {a} and {a + 1}")).agg(F.sum("n")).first()[0] for a in range(0, 12, 2)]
-    assert len(index.runs) <= 3 and n[0] == 41 and all(x > 41 for x in n[1:])
+    assert len(index.runs) <= 3 and n == [41, 42, 42, 42, 42, 42]
     index.drop()
 
 
@@ -360,7 +360,7 @@ def test_licences(spark, docs):
     mit = licenses.KNOWN[0][1]
     rows = [(1, "Copyright (c) 2020 Someone\n\n" + mit.upper().replace("NONINFRINGEMENT", "NON-INFRINGEMENT"), "", ""), (2, mit + " more", "", ""), (3, "text\nReleased under the  MIT licence!\nx", "", ""), (4, "...", "", "")]
     got = {r.doc_id: (r.text_license, r.notice_licenses) for r in licenses.scanned(hard.documents(spark, rows)).collect()}
-    assert got == {1: ("MIT", []), 2: (None, []), 3: (None, ["MIT"]), 4: (None, [])}
+    assert got == {1: ("MIT", ["MIT"]), 2: (None, []), 3: (None, ["MIT"]), 4: (None, [])}
     assert licenses.scanned(docs).count() == len(hard.ROWS) and licenses.scanned(hard.empty(spark)).count() == 0
     assert licenses.scanned(docs).where("doc_id in (4, 5, 6) and text_digest is not null").count() == 0
     assert all(d == hashlib.sha256(licenses.canonical_here(t).encode()).hexdigest() for (d, _), (_, t) in zip(licenses.CATALOGUE, licenses.KNOWN, strict=True))

@@ -58,9 +58,14 @@ def first_of_key(df: DataFrame, key: str, order: Sequence[str], keys: Sequence[s
 
 
 def duplicates(df: DataFrame, digest: Column, label: str) -> DataFrame:
-    """label, digest and same_as of the rows whose content an earlier label has."""
-    w = Window.partitionBy("digest").orderBy(label)
-    return df.select(label, digest.alias("digest")).withColumn("same_as", F.first(label).over(w)).withColumn("__r", F.row_number().over(w)).where("__r > 1").drop("__r")
+    """label, digest and same_as of the rows whose content an earlier label has.
+
+    The first labels are aggregated before they meet the rows, so a digest that very many rows share is a
+    skewed join, which can be split, and not a group in one task.
+    """
+    rows = df.select(label, digest.alias("digest"))
+    firsts = rows.groupBy("digest").agg(F.min(label).alias("same_as"))
+    return rows.join(firsts, "digest").where(F.col(label) != F.col("same_as")).select(label, "digest", "same_as")
 
 
 def repeated_names(df: DataFrame, slug: Column, order: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -148,9 +148,8 @@ def _caption_columns(page: pd.DataFrame, body: float) -> list[list[int]]:
         if any(len(c) > 1 for c in grid):
             done.extend(grid)
 
-    rows = small.rows
-    order = sorted((g["y0"].min(), k) for k, g in rows.groupby(small.visual_rows()))
-    label = small.visual_rows()
+    rows, label = small.rows, small.visual_rows()
+    order = sorted((g["y0"].min(), k) for k, g in rows.groupby(label))
     for _, k in order:
         row = rows[label == k].sort_values("x0", kind="stable")
         if len(row) >= 2 and all(OPENER.match(t.strip()) for t in row["text"]):

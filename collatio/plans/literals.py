@@ -206,9 +206,9 @@ def progress_table(spark: SparkSession, d: str) -> DataFrame:
     return emit.progress_table(spark.createDataFrame([("b", "green", 10), ("b", "failing", 20)], "book_id string, status string, n_pages int"), ["book_id"])
 
 
-@query("SELECT * FROM (VALUES (1, 'part1/02-strong-ties'), (2, '00-preface')) AS t(id, v)")
+@query("SELECT * FROM (VALUES (1, 'part1/02-long-paths'), (2, '00-preface')) AS t(id, v)")
 def document_paths(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "part1", 2, "Strong Ties"), (2, None, 0, "Preface")], "id int, p string, n int, t string")
+    rows = spark.createDataFrame([(1, "part1", 2, "Long Paths"), (2, None, 0, "Preface")], "id int, p string, n int, t string")
     return rows.select("id", emit.document_path(F.col("p"), F.col("n"), F.col("t")).alias("v"))
 
 

@@ -105,9 +105,9 @@ def indel_agreement(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.agreement(bs, rs, ("marker", "docling")).select(F.col("id").cast("int").alias("id"), F.round("agreement", 6).alias("agreement"))
 
 
-@query("SELECT * FROM (VALUES ('preface', '0', 'Preface', 'xi'), ('part', 'I', 'Graph Theory', '21'), ('chapter', '1', 'Overview', '1'), ('section', '5.5', 'The Groucho Marx Theorem in Zero-Sum Betting', '239'), ('chapter', '3', 'Strong and Weak Ties', '45')) AS t(kind, number, title, printed_page)")
+@query("SELECT * FROM (VALUES ('preface', '0', 'Preface', 'xi'), ('part', 'I', 'Graph Theory', '21'), ('chapter', '1', 'Overview', '1'), ('section', '5.5', 'A Long Title of Many Words in Print', '239'), ('chapter', '3', 'Paths and Cycles', '45')) AS t(kind, number, title, printed_page)")
 def contents_entries(spark: SparkSession, d: str) -> DataFrame:
-    texts = ["Preface    xi", "I   Graph Theory    21", "1  Overview     1", "5.5 The Groucho Marx Theorem in Zero-Sum", "Betting  . . . 239", "Chapter 3: Strong and Weak Ties    45", "CONTENTS"]
+    texts = ["Preface    xi", "I   Graph Theory    21", "1  Overview     1", "5.5 A Long Title of Many Words", "in Print  . . . 239", "Chapter 3: Paths and Cycles    45", "CONTENTS"]
     ls = spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)], "book_id string, line_no int, text string")
     return contents.entries(contents.joined_entries(ls)).select("kind", "number", "title", "printed_page")
 
@@ -210,7 +210,7 @@ def structural_census(spark: SparkSession, d: str) -> DataFrame:
     return s.select("chapter", F.array_join("figures", ",").alias("figures"), F.element_at("sections", 1).alias("sections"), "exercises", "footnotes")
 
 
-@query("SELECT * FROM (VALUES (1, 'Overview', 10, 14, 1), (2, 'Graphs', 16, NULL, 2)) AS t(number, title, pdf_page, pdf_page_end, part)")
+@query("SELECT * FROM (VALUES (1, 'Overview', 10, 14, 1), (2, 'Graphs', 16, -1, 2)) AS t(number, title, pdf_page, pdf_page_end, part)")
 def boundary_map(spark: SparkSession, d: str) -> DataFrame:
     """Two chapters of a part; the divider of the next part ends the first one early."""
     toc = [(1, "I   First    1"), (2, "1  Overview     2"), (3, "II   Second    7"), (4, "2  Graphs     8")]
@@ -219,4 +219,4 @@ def boundary_map(spark: SparkSession, d: str) -> DataFrame:
     lines = spark.createDataFrame(ls, "book_id string, page int, line_no int, text string, size double")
     contents_lines = spark.createDataFrame([("b", n, t) for n, t in toc], "book_id string, line_no int, text string")
     found = contents.boundary_map(lines, contents_lines)
-    return found.select("number", "title", "pdf_page", "pdf_page_end", "part")
+    return found.select("number", "title", "pdf_page", F.coalesce("pdf_page_end", F.lit(-1)).alias("pdf_page_end"), "part")

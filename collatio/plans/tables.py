@@ -71,11 +71,11 @@ def interval_assign(spark: SparkSession, d: str) -> DataFrame:
     return geometry.intervals(o, starts, "o_orderdate", "start", ["year"]).select("o_orderkey", F.col("interval_number").alias("number"))
 
 
-@query("WITH y AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders), c AS (SELECT CAST(y AS INT) AS number, CAST((y - 1990) * 10 AS INT) AS pdf_page FROM y), d AS (SELECT pdf_page + 4 AS d FROM c WHERE number % 2 = 0), n AS (SELECT *, lead(pdf_page) OVER (ORDER BY pdf_page) AS nx FROM c) SELECT number, pdf_page, CAST(coalesce(min(d), nx) - 1 AS INT) AS pdf_page_end FROM n LEFT JOIN d ON d > pdf_page AND (nx IS NULL OR d < nx) GROUP BY number, pdf_page, nx")
+@query("WITH y AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders), c AS (SELECT CAST(y AS INT) AS number, CAST((y - 1990) * 10 AS INT) AS pdf_page FROM y), d AS (SELECT pdf_page + 4 AS d FROM c WHERE number % 2 = 0), n AS (SELECT *, lead(pdf_page) OVER (ORDER BY pdf_page) AS nx FROM c) SELECT number, pdf_page, CAST(coalesce(min(d), nx, 0) - 1 AS INT) AS pdf_page_end FROM n LEFT JOIN d ON d > pdf_page AND (nx IS NULL OR d < nx) GROUP BY number, pdf_page, nx")
 def chapter_ends(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "orders").select(F.year("o_orderdate").alias("number")).distinct().select(F.lit(1).alias("book"), "number", ((F.col("number") - 1990) * 10).alias("pdf_page"))
     dividers = c.where("number % 2 = 0").select("book", (F.col("pdf_page") + 4).alias("pdf_page"))
-    return geometry.clipped_ends(c, dividers, ["book"]).select("number", "pdf_page", "pdf_page_end")
+    return geometry.clipped_ends(c, dividers, ["book"]).select("number", "pdf_page", F.coalesce("pdf_page_end", F.lit(-1)).alias("pdf_page_end"))
 
 
 @query("WITH e AS (SELECT user_id, event_id, epoch(ts) AS t FROM events), w AS (SELECT *, max(t + 60) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM e), b AS (SELECT *, sum(CASE WHEN t - r > 86400 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS k FROM w) SELECT user_id, CAST(max(t + 60) AS BIGINT) AS extent FROM b WHERE k = 0 GROUP BY user_id")
@@ -185,10 +185,10 @@ def bbox_union(spark: SparkSession, d: str) -> DataFrame:
     return aggregates.bbox_union(li, ["l_returnflag"])
 
 
-@query("SELECT o_orderpriority, count(DISTINCT o_orderkey % 4 - o_custkey % 2) AS n_offsets, CASE WHEN count(DISTINCT o_orderkey % 4 - o_custkey % 2) = 1 THEN max(o_orderkey % 4 - o_custkey % 2) END AS \"offset\" FROM orders GROUP BY o_orderpriority")
+@query("SELECT o_orderpriority, count(DISTINCT o_orderkey % 4 - o_custkey % 2) AS n_offsets, CASE WHEN count(DISTINCT o_orderkey % 4 - o_custkey % 2) = 1 THEN max(o_orderkey % 4 - o_custkey % 2) ELSE -99 END AS \"offset\" FROM orders GROUP BY o_orderpriority")
 def consistent_offset(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderpriority", (F.col("o_orderkey") % 4).alias("l"), (F.col("o_custkey") % 2).alias("r"))
-    return aggregates.consistent_offset(o, "l", "r", ["o_orderpriority"])
+    return aggregates.consistent_offset(o, "l", "r", ["o_orderpriority"]).withColumn("offset", F.coalesce("offset", F.lit(-99)).cast("long"))
 
 
 @query("SELECT lang, count(*) FILTER (WHERE len(text) > 2000) AS n, round(count(*) FILTER (WHERE len(text) > 2000) / count(*), 6) AS share FROM documents GROUP BY lang")
@@ -210,11 +210,11 @@ def label_order(spark: SparkSession, d: str) -> DataFrame:
     return x.withColumn("place", F.row_number().over(Window.orderBy(kernel.label_key(F.col("label")), "p_partkey")))
 
 
-@query(r"""SELECT o_orderkey, kind || ' ' || number AS label, CASE WHEN kind <> 'Exercise' THEN CAST(split_part(number, '.', 1) AS INT) END AS chapter,
+@query(r"""SELECT o_orderkey, kind || ' ' || number AS label, CASE WHEN kind <> 'Exercise' THEN CAST(split_part(number, '.', 1) AS INT) ELSE -1 END AS chapter,
 CASE kind WHEN 'Chapter' THEN 'chapter-' || number WHEN 'Section' THEN 'sec-' WHEN 'Figure' THEN 'fig-' WHEN 'Table' THEN 'tbl-' WHEN 'Equation' THEN 'eq-' ELSE 'ex-' END || CASE WHEN kind = 'Chapter' THEN '' ELSE replace(number, '.', '-') END AS anchor
 FROM (SELECT o_orderkey, ['Chapter', 'Section', 'Figure', 'Table', 'Equation', 'Exercise'][CAST(o_custkey % 6 + 1 AS INT)] AS kind, CAST(o_orderkey % 30 AS VARCHAR) || CASE WHEN o_custkey % 6 IN (0, 5) THEN '' ELSE '.' || CAST(o_custkey % 20 AS VARCHAR) END AS number FROM orders)""")
 def reference_targets(spark: SparkSession, d: str) -> DataFrame:
     kinds = F.array(*map(F.lit, ("Chapter", "Section", "Figure", "Table", "Equation", "Exercise")))
     o = table(spark, d, "orders").select("o_orderkey", F.element_at(kinds, (F.col("o_custkey") % 6 + 1).cast("int")).alias("kind"), F.concat((F.col("o_orderkey") % 30).cast("string"), F.when((F.col("o_custkey") % 6).isin(0, 5), "").otherwise(F.concat(F.lit("."), (F.col("o_custkey") % 20).cast("string")))).alias("number"))
     label = F.concat_ws(" ", "kind", "number")
-    return o.select("o_orderkey", label.alias("label"), kernel.target_chapter(label).alias("chapter"), kernel.target_anchor(F.col("kind"), F.col("number")).alias("anchor"))
+    return o.select("o_orderkey", label.alias("label"), F.coalesce(kernel.target_chapter(label), F.lit(-1)).alias("chapter"), kernel.target_anchor(F.col("kind"), F.col("number")).alias("anchor"))

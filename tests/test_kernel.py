@@ -92,7 +92,7 @@ def test_labels(spark):
     assert value(spark, k.label_key(F.col("t")), t="14.10") == [14, 10] and value(spark, k.label_key(F.col("t")), t="a.1") == [0]
     assert value(spark, k.target_chapter(F.col("t")), t="Equation (14.1)") == 14 and value(spark, k.target_chapter(F.col("t")), t="Exercise 2") is None
     assert value(spark, k.printed_page(F.col("n"), F.col("c")), n=9, c=0) == "ix" and value(spark, k.printed_page(F.col("n"), F.col("c")), n=9, c=3) == "9"
-    assert value(spark, k.slug(F.col("t")), t="Strong & Weak  Ties!") == "strong-weak-ties"
+    assert value(spark, k.slug(F.col("t")), t="Paths & Long  Cycles!") == "paths-long-cycles"
 
 
 def test_payoffs(spark):

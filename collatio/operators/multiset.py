@@ -73,6 +73,16 @@ def set_difference(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Data
     return only_left(left, right, on).withColumn("side", F.lit("left")).unionByName(only_left(right, left, on).withColumn("side", F.lit("right")))
 
 
+#: Up to so many keys are sent to where the rows are; more meet them in a shuffle.
+FEW = 200_000
+
+
+def among(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key `wanted` has. If it has few keys, which are counted first, no row is shuffled."""
+    keys = wanted.select(key).distinct()
+    return rows.join(F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys, key, "left_semi")
+
+
 def strided(df: DataFrame, order: Sequence[str], step: Column, keys: Sequence[str] = ()) -> DataFrame:
     """Every step-th row of each key, from the first."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -158,3 +158,17 @@ def progress_table(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many chapters and pages (n_pages) are green."""
     green = F.col("status") == "green"
     return states.groupBy(*keys).agg(F.count_if(green).alias("chapters_green"), F.count("*").alias("chapters_total"), F.sum(F.when(green, F.col("n_pages")).otherwise(0)).alias("pages_green"), F.sum("n_pages").alias("pages_total"))
+
+
+def home_page(items: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
+    """keys and Markdown of a book's contents from `sidebar` rows: chapters outside parts first, then part by part."""
+    lines = F.transform("items", lambda i: F.concat(F.lit("- ["), kernel.display_title(i["number"], i["title"]), F.lit("](/"), i["path"], F.lit(")")))
+    head = F.when(F.col("part").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("## Part "), F.col("part").cast("string"))))
+    rows = items.select(*keys, "place", F.concat(head, lines).alias("lines"))
+    return rows.groupBy(*keys).agg(F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "lines"))), lambda r: r["lines"])), "\n").alias("markdown"))
+
+
+def starter_readme(summary: DataFrame, title: str) -> DataFrame:
+    """A first README of a book from `progress_table` rows."""
+    line = F.format_string("%d of %d chapters and %d of %d pages pass every check.", "chapters_green", "chapters_total", "pages_green", "pages_total")
+    return summary.select(F.concat(F.lit(f"# {title}\n\n"), line, F.lit("\n")).alias("markdown"))

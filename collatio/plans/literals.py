@@ -244,3 +244,23 @@ def xref_gate(spark: SparkSession, d: str) -> DataFrame:
     site = spark.createDataFrame([("/a", None), ("/a", "x")], "route string, anchor string")
     links = spark.createDataFrame([(1, "/a/", "x"), (1, "/a", None)], "chapter int, route string, anchor string")
     return gates.xrefs(ch, links, site, spark.createDataFrame([(1, "Figure 9.1"), (2, "Figure 1.1")], "chapter int, label string"), ["chapter"]).select("chapter", "status")
+
+
+@query("SELECT 'b' AS book_id, '- [Preface](/00-preface)' || chr(10) || '## Part 1' || chr(10) || '- [1. Overview](/p/01-overview)' || chr(10) || '- [2. Graphs](/p/02-graphs)' AS markdown")
+def home_page(spark: SparkSession, d: str) -> DataFrame:
+    c = spark.createDataFrame([("b", 1, 2, "Graphs", "p/02-graphs"), ("b", None, 0, "Preface", "00-preface"), ("b", 1, 1, "Overview", "p/01-overview")], "book_id string, part int, number int, title string, path string")
+    return emit.home_page(emit.sidebar(c))
+
+
+@query("SELECT '# Book' || chr(10) || chr(10) || '1 of 2 chapters and 10 of 30 pages pass every check.' || chr(10) AS markdown")
+def starter_readme(spark: SparkSession, d: str) -> DataFrame:
+    return emit.starter_readme(progress_table(spark, d), "Book")
+
+
+@query("SELECT * FROM (VALUES ('erdös', 75.0::DOUBLE, 'a < b', '12')) AS t(a, b, c, d)")
+def sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    """The Arrow functions from SQL."""
+    from collatio.functions.sql import register
+
+    register(spark)
+    return spark.sql("SELECT repair_accents('erd¨os') AS a, indel_ratio('abcd', 'abxd') AS b, unescape_html('a &lt; b') AS c, nfkc('１２') AS d")

@@ -65,7 +65,7 @@ def reach(threshold: float, symbols: int = SYMBOLS) -> int:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Chunks of as many rows at most as a shingle's key can tell apart."""
-    for b in chunks(batches, column, 2_000_000):
+    for b in chunks(batches, column, 1_000_000):
         for s in range(0, b.num_rows, 1 << _ROW_BITS):
             yield b.slice(s, 1 << _ROW_BITS)
 

@@ -35,6 +35,8 @@ QUANTUM = 4
 END = 1
 #: Words that a worker remembers the ids of.
 REMEMBERED = 1_000_000
+#: Bytes of text that a worker tokenises at a time; in larger chunks more words are repeated.
+CHUNK = 2_000_000
 ROWS_PER_RANGE = 64
 MAX_RANGES = 4096
 
@@ -99,7 +101,7 @@ def _encoder(path: str) -> Encoder:
 def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        for b in chunks(batches):
+        for b in chunks(batches, limit=CHUNK):
             ids, offsets = encoder.ids(Words(b.column("text")))
             tokens = np.diff(offsets)
             parts = -(-tokens // length)

@@ -62,12 +62,17 @@ def _styled(text: Column) -> Column:
 
 def _unbroken(text: Column) -> Column:
     """Words that a line end parted after a hyphen, put together."""
+    return F.when(~text.contains("\n"), text).otherwise(_rejoined(text))
+
+
+def _rejoined(text: Column) -> Column:
     return F.regexp_replace(text, rf"([\p{{L}}\p{{N}}_])[\u00AD\-][{WHITE}]*\n[{WHITE}]*([\p{{L}}\p{{N}}_])", "$1$2")
 
 
 def normal(text: Column) -> Column:
     """The form in which texts are compared, for text that is stable under NFC and NFKC."""
-    return F.lower(collapsed(_styled(_unbroken(text))))
+    plain = ~text.rlike(f"[{SINGLE_QUOTES}{DOUBLE_QUOTES}{DASHES}{''.join(LIGATURES)}]")
+    return F.lower(collapsed(F.when(plain, _unbroken(text)).otherwise(_styled(_unbroken(text)))))
 
 
 def _composed(text: str, form: str) -> str:
@@ -102,7 +107,7 @@ def compatible(text: pd.Series) -> pd.Series:
 
 def exact_normal(text: Column) -> Column:
     """The form in which texts are compared, for any text."""
-    return F.lower(collapsed(compatible(_styled(_unbroken(composed(text))))))
+    return F.lower(collapsed(compatible(_styled(_rejoined(composed(text))))))
 
 
 def output_form(text: Column) -> Column:

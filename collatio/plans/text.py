@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from collatio.functions import kernel, markdown
 from collatio.operators import aggregates, gates, multiset
 from collatio.plans.registry import query
-from collatio.session import table
+from collatio.session import spread, table
 
 #: Pieces of SQL that several twins share. (?U) and look-behind are unknown to DuckDB's regular expressions.
 WS = r"[\t\n\x0B\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -39,7 +39,7 @@ LINES_SQL = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generat
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:

@@ -22,3 +22,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the generated tables, lazily."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to all cores if a small input comes in fewer pieces than there are cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -147,15 +147,15 @@ BOXES = "WITH l AS (SELECT CAST(l_orderkey % 50 AS INT) AS page, ((l_orderkey *
 OVERLAP_SQL = "greatest(least(l.x1, b.x1) - greatest(l.x0, b.x0), 0) * greatest(least(l.y1, b.y1) - greatest(l.y0, b.y0), 0) / least((l.x1 - l.x0) * (l.y1 - l.y0), (b.x1 - b.x0) * (b.y1 - b.y0))"
 
 
-def _boxes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _boxes(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     lines = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 50 AS INT) page", "((l_orderkey * 100003 + l_partkey) * 1009 + l_suppkey) * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x0", "CAST(l_suppkey * 7 % 700 AS DOUBLE) y0", "CAST(l_partkey % 400 + 30 + l_linenumber * 9 AS DOUBLE) x1", "CAST(l_suppkey * 7 % 700 + 12 AS DOUBLE) y1")
-    boxes = table(spark, d, "orders").where("o_orderkey % 20 = 0").selectExpr("CAST(o_orderkey % 50 AS INT) page", "o_orderkey id", "CAST(o_custkey % 350 AS DOUBLE) x0", "CAST(o_orderkey * 13 % 650 AS DOUBLE) y0", "CAST(o_custkey % 350 + 60 AS DOUBLE) x1", "CAST(o_orderkey * 13 % 650 + 25 AS DOUBLE) y1")
+    boxes = table(spark, d, "orders").where("true" if whole else "o_orderkey % 20 = 0").selectExpr("CAST(o_orderkey % 50 AS INT) page", "o_orderkey id", "CAST(o_custkey % 350 AS DOUBLE) x0", "CAST(o_orderkey * 13 % 650 AS DOUBLE) y0", "CAST(o_custkey % 350 + 60 AS DOUBLE) x1", "CAST(o_orderkey * 13 % 650 + 25 AS DOUBLE) y1")
     return lines, boxes
 
 
 @query(f"{BOXES} SELECT l.page, l.id, b.id AS box, round({OVERLAP_SQL}, 6) AS score FROM l JOIN b ON l.page = b.page WHERE {OVERLAP_SQL} > 0.6")
 def spatial_overlap_join(spark: SparkSession, d: str) -> DataFrame:
-    """Lines that lie in a box by more than 0.6; the boxes are those of every twentieth order, a small set by design."""
+    """Lines that lie in a box by more than 0.6; the boxes are those of every twentieth order alone (all: spatial_overlap_join_all)."""
     lines, boxes = _boxes(spark, d)
     return geometry.overlapping(lines, boxes, ["page"], 0.6).select("page", "id", F.col("r_id").alias("box"), F.round("score", 6).alias("score"))
 
@@ -179,6 +179,37 @@ def nearest_column(spark: SparkSession, d: str) -> DataFrame:
     return geometry.nearest(points, centres, ["page"]).select("page", "id", "column")
 
 
+# The four above, over the boxes and centres of all orders.
+ALL_BOXES = BOXES.replace(" WHERE o_orderkey % 20 = 0", "")
+
+
+@query(f"{ALL_BOXES} SELECT l.page, l.id, b.id AS box, round({OVERLAP_SQL}, 6) AS score FROM l JOIN b ON l.page = b.page WHERE {OVERLAP_SQL} > 0.6")
+def spatial_overlap_join_all(spark: SparkSession, d: str) -> DataFrame:
+    lines, boxes = _boxes(spark, d, whole=True)
+    return geometry.overlapping(lines, boxes, ["page"], 0.6).select("page", "id", F.col("r_id").alias("box"), F.round("score", 6).alias("score"))
+
+
+@query(f"{ALL_BOXES}, s AS (SELECT l.page, l.id, b.id AS box, {OVERLAP_SQL} AS score FROM l JOIN b ON l.page = b.page) SELECT page, id, box FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY score DESC, box) AS r FROM s WHERE score > 0.5) WHERE r = 1")
+def box_owner_all(spark: SparkSession, d: str) -> DataFrame:
+    lines, boxes = _boxes(spark, d, whole=True)
+    return geometry.owner(lines, boxes, ["page"]).select("page", "id", F.col("r_id").alias("box"))
+
+
+@query(f"{ALL_BOXES} SELECT l.page, l.id FROM l WHERE EXISTS (SELECT 1 FROM b WHERE b.page = l.page AND l.x0 >= b.x0 - 2 AND l.y0 >= b.y0 - 2 AND l.x1 <= b.x1 + 2 AND l.y1 <= b.y1 + 2)")
+def box_containment_all(spark: SparkSession, d: str) -> DataFrame:
+    lines, boxes = _boxes(spark, d, whole=True)
+    return geometry.enclosed(lines, boxes, ["page"]).select("page", "id")
+
+
+@query("WITH p AS (SELECT CAST(l_orderkey % 50 AS INT) AS page, l_orderkey * 10 + l_linenumber AS id, CAST(l_partkey % 400 AS DOUBLE) AS x FROM lineitem), c AS (SELECT CAST(o_orderkey % 50 AS INT) AS page, o_orderkey AS k, CAST(o_custkey % 350 AS DOUBLE) AS centre FROM orders), j AS (SELECT p.page, id, k, abs(x - centre) AS dist FROM p JOIN c ON p.page = c.page AND abs(x - centre) < 26) SELECT page, id, k AS \"column\" FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY dist, k) AS r FROM j) WHERE r = 1")
+def nearest_column_all(spark: SparkSession, d: str) -> DataFrame:
+    points = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 50 AS INT) page", "l_orderkey * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x")
+    centres = table(spark, d, "orders").selectExpr("CAST(o_orderkey % 50 AS INT) page", "o_orderkey column", "CAST(o_custkey % 350 AS DOUBLE) centre")
+    # Of centres at one place the first is the nearest to any point.
+    centres = centres.groupBy("page", "centre").agg(F.min("column").alias("column"))
+    return geometry.nearest(points, centres, ["page"]).select("page", "id", "column")
+
+
 @query("SELECT l_returnflag, min(l_quantity) AS x0, min(l_discount) AS y0, max(l_quantity) AS x1, max(l_tax) AS y1 FROM lineitem GROUP BY l_returnflag")
 def bbox_union(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_returnflag", F.col("l_quantity").alias("x0"), F.col("l_discount").alias("y0"), F.col("l_quantity").alias("x1"), F.col("l_tax").alias("y1"))

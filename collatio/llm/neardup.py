@@ -351,12 +351,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` with one document of each component left, the one with the smallest id.
+    """The rows of `docs` with one document of each component left, one with the smallest id.
 
-    Of repeated rows of that id one stays; rows with a null id stay.
+    A document is an id and a text, so different texts of one id are documents of their own. Of rows
+    that share both one stays; rows with a null id stay.
     """
     names = docs.columns
-    gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    named = rest.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in names))).alias("__row")).select("__row.*")
-    return named.unionByName(rest.where("doc_id is null"))
+    id_ = F.col("doc_id").cast("long")
+    marked = docs.withColumn("__node", F.when(id_.isNotNull(), F.xxhash64(id_, F.col("text").cast("string"))))
+    found = near_duplicates(marked, k, percent, key="__node").where("doc_id is not null").select(F.col("doc_id").alias("__node"), "component_id").distinct()
+    nodes = staged(found.join(marked.where("__node is not null").select("__node", id_.alias("__id")).distinct(), "__node"), "neardup-nodes")
+    first = nodes.groupBy("component_id").agg(F.min(F.struct("__id", "__node")).alias("first"))
+    gone = nodes.join(first, "component_id").where(F.col("__node") != F.col("first.__node")).select("__node")
+    rest = marked.join(gone, "__node", "left_anti")
+    named = rest.where("__node is not null").groupBy("__node").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in names))).alias("__row")).select("__row.*")
+    return named.unionByName(rest.where("__node is null").select(*(F.col(f"`{c}`") for c in names)))

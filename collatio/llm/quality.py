@@ -11,6 +11,7 @@ measurement are replaced by it in `ledger(..., keep=...)` output only if not in
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -22,7 +23,7 @@ from collatio.llm.staging import small_batches
 from collatio.llm.words import Words, byte_hashes, chunks, mix, per_document
 
 WINDOW = 8
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_unspaced")
 
 #: Name, and the SQL condition under which a document fails; the position is the bit.
 RULES: tuple[tuple[str, str], ...] = (
@@ -31,7 +32,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("many_symbols", "5 * n_symbols > n_words"),
     ("duplicate_lines", "n_lines >= 5 and 100 * n_dup_lines > 30 * n_lines"),
     ("short_words", "word_chars < 2 * n_words"),
-    ("long_words", "word_chars > 20 * n_words"),
+    ("long_words", "word_chars - n_unspaced > 20 * n_words and 2 * n_unspaced < word_chars"),
     ("shouting", "100 * n_upper > 60 * n_letters and n_words >= 20"),
 )
 BASE = ("few_words", "repeated_words")
@@ -47,18 +48,51 @@ _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
 _LETTER[97:123] = True
+#: Scripts written without blanks, and their punctuation.
+_UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x3000, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF00, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+_kinds: list[np.ndarray] = []
+
+
+def _kind() -> np.ndarray:
+    """For each code point: 1 if it is a letter, 2 if an upper-case one, 4 if of a script without blanks, added up."""
+    if not _kinds:
+        names = (unicodedata.category(chr(i)) for i in range(0x110000))
+        kind = np.fromiter(((3 if c in ("Lu", "Lt") else 1) if c[0] == "L" else 0 for c in names), np.uint8, 0x110000)
+        for lo, hi in _UNSPACED:
+            kind[lo : hi + 1] |= 4
+        _kinds.append(kind)
+    return _kinds[0]
+
+
+def _beyond_ascii(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters of several bytes begin in UTF-8, and their kinds."""
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at].astype(np.int64)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & (0x7F >> size)
+    for k in (1, 2, 3):
+        more = size > k
+        point[more] = point[more] << 6 | (data[at[more] + k] & 0x3F)
+    return at, _kind()[point]
 
 
 def measure(column: pa.Array) -> dict[str, np.ndarray]:
     """The measurements of each text of a column."""
     w = Words(column)
     lead = (w.data & 0xC0) != 0x80
+    upper, letter, unspaced = _UPPER[w.data], _LETTER[w.data], np.zeros(len(w.data), bool)
+    at, kind = _beyond_ascii(w.data)
+    letter[at], upper[at], unspaced[at] = kind & 1 > 0, kind & 2 > 0, kind & 4 > 0
     out = {
         "n_words": w.counts,
         "word_chars": per_document(lead & ~w.space, w.offsets),
         "n_symbols": per_document(_SYMBOL[w.data], w.offsets),
-        "n_upper": per_document(_UPPER[w.data], w.offsets),
-        "n_letters": per_document(_LETTER[w.data], w.offsets),
+        "n_upper": per_document(upper, w.offsets),
+        "n_letters": per_document(letter, w.offsets),
+        "n_unspaced": per_document(unspaced, w.offsets),
     }
     n = len(column)
     # Lines: from each document's start, and from after each \n. Those without a word don't count.

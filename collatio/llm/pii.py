@@ -15,14 +15,24 @@ rows and other columns are kept as they come; a column named like the results is
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Countries whose account numbers hold letters or may do so, by the length of the whole number.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(f"(?:{c.replace(' ', '|')})\\d{{2}}(?=[ 0-9]*[A-Z])(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in _IBAN_LENGTHS.items())
+
 #: Type and pattern, in the order in which they are tried at a place.
 TYPES: tuple[tuple[str, str], ...] = (
     ("email", r"[\p{L}\p{N}._%+\-]{1,64}@[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){0,6}\.\p{L}{2,24}"),
     ("secret", r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"),
     ("secret", r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![\p{L}\p{N}])"),
+    ("iban", r"(?<![\p{L}\p{N}])(?:" + _IBAN + r")(?![\p{L}\p{N}])"),
     ("iban", r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?(?![\p{L}\p{N}])"),
     ("phone", r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?!\d)"),
     ("phone", r"(?<![\p{L}\p{N}])(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[.\-]\d{4}(?!\d)"),
@@ -36,10 +46,23 @@ ANY = "(?:" + "|".join(p for _, p in TYPES) + ")"
 #: Marks the ends of entities; texts that hold it already are searched twice instead.
 MARK = "\u0001\u0003\u0002\u0001"
 #: No entity is without one of these.
-QUICK = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Г-н|Г-жа)\.? \p{Lu}"
+QUICK = r"[0-9@]|sk-|gh[pousr]_|AKIA|[a-f]{32}|[A-F]{32}|(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Г-н|Г-жа)\.? \p{Lu}"
 
 #: Characters that stand for one another.
-WORD_CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâäèéêëìíîïòóôöùúûü", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ")
+BASIC_CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâäèéêëìíîïòóôöùúûü", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ")
+def _cased() -> tuple[str, ...]:
+    """Further letters with both cases: Latin ones, Greek ones, Cyrillic ones."""
+    found = {"LATIN": "", "GREEK": "", "CYRILLIC": ""}
+    for i in (*range(0x80, 0x530), *range(0x1E00, 0x1F00)):
+        low = chr(i)
+        up = low.upper()
+        script = unicodedata.name(low, "?").split()[0]
+        if script in found and unicodedata.category(low) == "Ll" and len(up) == 1 and up != low and up.lower() == low and not any(low in c for c in BASIC_CLASSES):
+            found[script] += low
+    return tuple(found.values())
+
+
+WORD_CLASSES = (*BASIC_CLASSES, *_cased())
 HEX_CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz")
 
 

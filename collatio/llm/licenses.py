@@ -41,7 +41,7 @@ SPELLINGS: tuple[tuple[str, str], ...] = (
     ("per cent", "percent"), ("organisation", "organization"), ("acknowledgement", "acknowledgment"), ("merchantibility", "merchantability"),
 )
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright (?:\(c\)|©|[0-9]{4})|©|\(c\) ?[0-9]{4}|all rights reserved)[^\n]*$"
-NOTICE = "licen[sc]e"  # each notice of KNOWN holds it
+NOTICE = "licen[sc]e"  # the SQL twin looks up lines with it alone
 
 
 def canonical(text: Column) -> Column:
@@ -64,6 +64,9 @@ def canonical_here(text: str) -> str:
 #: Digest and licence of each known text.
 CATALOGUE: tuple[tuple[str, str], ...] = tuple((hashlib.sha256(canonical_here(t).encode()).hexdigest(), name) for name, t in KNOWN)
 
+#: What each known text holds one of in any spelling: the word of NOTICE, or else the text's longest word that has one spelling.
+GATE = "|".join(dict.fromkeys((NOTICE, *(max(set(c.split()) - {w for _, new in SPELLINGS for w in new.split()}, key=lambda w: (len(w), w)) for _, t in KNOWN for c in (canonical_here(t),) if not re.search(NOTICE, c)))))
+
 
 def digest(text: Column) -> Column:
     """The SHA-256 of the canonical form; null where that is empty."""
@@ -76,8 +79,8 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     catalogue = F.broadcast(docs.sparkSession.createDataFrame(list(CATALOGUE), "known_digest string, text_license string"))
     known = F.create_map(*(F.lit(x) for pair in CATALOGUE for x in pair))
     t = F.col(f"`{text}`").cast("string")
-    # Every known notice holds the word, so other lines need no digest.
-    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"(?i){NOTICE}"))
+    # Every known text holds a word of GATE, so other lines need no digest.
+    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"(?i){GATE}"))
     found = F.array_sort(F.array_distinct(F.filter(F.transform(lines, lambda x: F.try_element_at(known, F.coalesce(digest(x), F.lit("")))), lambda x: x.isNotNull())))
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), digest(t).alias("text_digest"), F.when(t.rlike(f"(?i){NOTICE}"), found).otherwise(F.array().cast("array<string>")).alias("notice_licenses"))
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), digest(t).alias("text_digest"), F.when(t.rlike(f"(?i){GATE}"), found).otherwise(F.array().cast("array<string>")).alias("notice_licenses"))
     return rows.join(catalogue, F.col("text_digest") == F.col("known_digest"), "left").select("doc_id", "text_digest", "text_license", "notice_licenses")

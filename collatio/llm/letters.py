@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from collatio.llm.words import mix, range_hashes, utf8
+from collatio.llm.words import byte_hashes, utf8
 
 _letter: list[np.ndarray] = []
 
@@ -29,9 +29,12 @@ def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Runs:
-    """Letter runs of a chunk of documents: run i is points[start[i]:end[i]], first[d]:first[d + 1] those of document d."""
+    """Letter runs of a chunk of documents: run i is points[start[i]:end[i]], first[d]:first[d + 1] those of document d.
 
-    def __init__(self, column: pa.Array) -> None:
+    Longer runs than `longest` are cut into pieces of that many letters.
+    """
+
+    def __init__(self, column: pa.Array, longest: int = 32) -> None:
         self.points, self.offsets = code_points(column)
         ok = is_letter()[self.points]
         edge = np.zeros(len(ok) + 1, bool)
@@ -40,7 +43,11 @@ class Runs:
         after = np.concatenate([ok[1:], [False]]) if len(ok) else ok
         self.start = np.flatnonzero(ok & (~before | edge[:-1]))
         self.end = np.flatnonzero(ok & (~after | edge[1:])) + 1
+        parts = -(-(self.end - self.start) // longest)
+        if (parts > 1).any():
+            start = np.repeat(self.start, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * longest
+            self.start, self.end = start, np.minimum(start + longest, np.repeat(self.end, parts))
         self.first = np.searchsorted(self.start, self.offsets)
 
     def hashes(self) -> np.ndarray:
-        return range_hashes(mix(self.points.astype(np.uint64) + np.uint64(11)), self.start, self.end)
+        return byte_hashes(self.points.view(np.uint8), 4 * self.start, 4 * self.end, 1)[0]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collatio.llm.staging import small_batches, staged
-from collatio.llm.words import Words, chunks
+from collatio.llm.words import Words, alike, chunks
 
 LENGTH = 2048
 QUANTUM = 4
@@ -56,6 +56,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)
         self.place = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
@@ -63,10 +64,17 @@ class Encoder:
 
     def ids(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all documents, END after each, and the offsets of the documents."""
-        distinct, first, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        if len(self.hashes) > REMEMBERED:
-            self._forget()
+        one, two = w.hashes()
+        keys = alike(one, two)
+        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        check = two[first]
         at = np.searchsorted(self.hashes, distinct)
+        near = np.minimum(at, max(0, len(self.hashes) - 1))
+        # Keys of this chunk alone, or another word with a remembered one's first hash: nothing may be remembered.
+        odd = keys is not one or (len(self.hashes) and ((self.hashes[near] == distinct) & (self.checks[near] != check)).any())
+        if odd or len(self.hashes) > REMEMBERED:
+            self._forget()
+            at = np.zeros(len(distinct), np.int64)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.hashes)
         known[inside] = self.hashes[at[inside]] == distinct[inside]
@@ -78,7 +86,7 @@ class Encoder:
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             flat = np.array(list(itertools.chain.from_iterable(found)), np.uint32)
             starts = len(self.flat) + np.cumsum(sizes) - sizes
-            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.hashes, self.checks = np.insert(self.hashes, at[new], distinct[new]), np.insert(self.checks, at[new], check[new])
             self.place = np.insert(self.place, at[new], len(self.sizes) + np.arange(len(new)))
             self.starts, self.sizes, self.flat = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
         which = self.place[np.searchsorted(self.hashes, distinct)][inverse]
@@ -89,6 +97,8 @@ class Encoder:
         out = np.full(int(offsets[-1]), END, np.uint32)
         target = np.arange(int(ends[-1])) + np.repeat(w.documents(), size)
         out[target] = self.flat[np.arange(int(ends[-1])) + np.repeat(self.starts[which] - ends[:-1], size)]
+        if odd:
+            self._forget()
         return out, offsets
 
 

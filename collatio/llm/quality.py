@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collatio.llm.staging import small_batches
-from collatio.llm.words import Words, byte_hashes, chunks, mix, per_document
+from collatio.llm.words import Words, alike, byte_hashes, chunks, mix, per_document
 
 WINDOW = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_unspaced")
@@ -103,15 +103,16 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
     ok = np.searchsorted(w.start, begin) < np.searchsorted(w.start, stop)
     begin, stop, doc = begin[ok], stop[ok], doc[ok]
     out["n_lines"] = np.bincount(doc, minlength=n)
-    line = byte_hashes(w.data, begin, stop) ^ mix(doc.astype(np.uint64) + np.uint64(1))
-    _, once = np.unique(line, return_index=True)
+    own = lambda x, doc: x ^ mix(doc.astype(np.uint64) + np.uint64(1))
+    one, two = byte_hashes(w.data, begin, stop)
+    _, once = np.unique(alike(own(one, doc), two), return_index=True)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(doc[once], minlength=n)
     # Windows that occur twice in their document cover words.
-    at, h = w.windows(w.hashes(), WINDOW)
+    at, one, two = w.windows(WINDOW, *w.hashes())
     docs = w.documents()
     covered = np.zeros(len(w.start) + 1, np.int64)
     if len(at):
-        h = h ^ mix(docs[at].astype(np.uint64) + np.uint64(1))
+        h = alike(own(one, docs[at]), two)
         order = np.argsort(h, kind="stable")
         s = h[order]
         same = s[1:] == s[:-1]

@@ -29,20 +29,29 @@ _local: str | None = None
 _written: list[tuple[SparkSession, str]] = []
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @atexit.register
 def _sweep() -> None:
     for spark, path in _written:
         with contextlib.suppress(Exception):
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            removed(spark, path)
+
+
+def swept(spark: SparkSession, path: str) -> str:
+    """The path, which is deleted when the process ends."""
+    _written.append((spark, path))
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as Parquet and read again: later steps start from these files, also after losing executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    path = swept(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

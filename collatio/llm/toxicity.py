@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from collatio.llm.letters import Runs
 from collatio.llm.sampling import draw, held_out
 from collatio.llm.staging import small_batches
-from collatio.llm.words import chunks, mix, range_hashes
+from collatio.llm.words import chunks, joined, mix, run_hashes
 
 WIDTH, STRIDE = 24, 16
 WORDS, GRAMS = 1 << 16, 1 << 15
@@ -47,16 +47,22 @@ class Tokens:
         h, first, self.at = np.unique(r.hashes(), return_index=True, return_inverse=True)
         self.first, self.hash = r.first, h
         self.word = (h & np.uint64(WORDS - 1)).astype(np.int64)
-        start, end = r.start[first], np.minimum(r.end[first], r.start[first] + LONGEST)
+        start, end = r.start[first], r.end[first]
         points = mix(r.points.astype(np.uint64) + np.uint64(3))
-        # All runs of 3 characters, and the first 3 to 7 ones, marked as such.
-        n3 = np.maximum(end - start - 2, 1)
+        # All runs of 3 characters, and the first 3 to 7 ones, marked as such; a shorter token is one itself.
+        n3 = np.maximum(end - start - 2, 0)
         owner = np.repeat(np.arange(len(start)), n3)
         s3 = start[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n3) - n3, n3)
-        grams, owners = [range_hashes(points, s3, np.minimum(s3 + 3, end[owner]))], [owner]
+        short = np.flatnonzero(n3 == 0)
+        last = points[end[short] - 1]
+        grams, owners = [np.where(end[short] - start[short] > 1, joined(points[start[short]], last), last)], [short]
         for k in (3, 4, 5, 6, 7):
+            runs = run_hashes(points, k) if len(points) >= k else points[:0]
+            if k == 3:
+                grams.append(runs[s3])
+                owners.append(owner)
             long = np.flatnonzero(end - start >= k)
-            grams.append(mix(range_hashes(points, start[long], start[long] + k) + np.uint64(k)))
+            grams.append(mix(runs[start[long]] + np.uint64(k)))
             owners.append(long)
         owner, gram = np.concatenate(owners), (np.concatenate(grams) >> np.uint64(20)) & np.uint64(GRAMS - 1)
         order = np.argsort(owner, kind="stable")

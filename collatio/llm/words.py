@@ -7,6 +7,7 @@ and their memory is bounded by the chunk (`CHUNK_BYTES`, or one document if it i
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +19,10 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = np.random.RandomState(20).randint(1, 2**62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_LANES = ((np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)), (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)))
+_KEPT = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+#: Longer byte ranges are hashed by BLAKE2b, one by one.
+BLOCKWISE = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,23 +34,59 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((_BASE, _INVERSE)):
-            p = np.full(n + n // 4, b, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = 2) -> list[np.ndarray]:
+    """One or two independent 64-bit hashes of data[s:e] for each range.
 
-
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[s:e] for each range, from one prefix sum."""
-    p, inv = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * p[: len(values)], out=total[1:])
-    h = (total[ends] - total[starts]) * inv[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    Blocks of 8 bytes go through a bijection one after another, otherwise in each lane, so that no
+    algebraic relation between the bytes makes texts equal in both; long ranges have a BLAKE2b digest.
+    """
+    sizes = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = [mix(sizes.astype(np.uint64) * m + c) for m, c in _LANES[:lanes]]
+    at = np.flatnonzero((sizes > 0) & (sizes <= BLOCKWISE))
+    step = 0
+    while len(at):
+        x = blocks[starts[at] + step] & _KEPT[np.minimum(sizes[at] - step, 8)]
+        out[0][at] = mix(out[0][at] ^ x)
+        if lanes > 1:
+            out[1][at] = mix(out[1][at] * _LANES[1][0] + (x << np.uint64(29) | x >> np.uint64(35)))
+        step += 8
+        at = at[sizes[at] > step]
+    for i in np.flatnonzero(sizes > BLOCKWISE).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=16).digest()
+        for k in range(lanes):
+            out[k][i] = int.from_bytes(digest[8 * k : 8 * k + 8], "little")
+    return out
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two sequences, a before b, of their hashes."""
+    return mix(a * np.uint64(0xE7037ED1A0B428DB) + (b << np.uint64(31) | b >> np.uint64(33)) + np.uint64(0x8EBC6AF09C88C6E3))
+
+
+def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """The hash of each k neighbours of h, from those of 1, 2, 4, ... neighbours."""
+    out, at, size = None, 0, 1
+    n = len(h) - k + 1
+    while k:
+        if k & 1:
+            out = h[at : at + n] if out is None else joined(out, h[at : at + n])
+            at += size
+        k >>= 1
+        if k:
+            h = joined(h[:-size], h[size:])
+            size *= 2
+    return out
+
+
+def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Keys that are equal where both hashes are: `one`, unless it is equal somewhere where `two` isn't."""
+    order = np.argsort(one, kind="stable")
+    a, b = one[order], two[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        return np.unique(np.stack([one, two], axis=1), axis=0, return_inverse=True)[1].ravel().astype(np.uint64)
+    return one
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,17 +144,18 @@ class Words:
         """The document of each word."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        return range_hashes(_BYTE[self.data], self.start, self.end)
+    def hashes(self, lanes: int = 2) -> list[np.ndarray]:
+        """One or two independent hashes of each word."""
+        return byte_hashes(self.data, self.start, self.end, lanes)
 
-    def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of each run of k words of one document, in order."""
-        n = len(hashes) - k + 1
+    def windows(self, k: int, *hashes: np.ndarray) -> list[np.ndarray]:
+        """First word of each run of k words of one document, in order, and the hash of the run from each given hash."""
+        n = len(self.start) - k + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return [np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in hashes)]
         doc = self.documents()
         at = np.flatnonzero(doc[:n] == doc[k - 1 :])
-        return at, range_hashes(hashes, at, at + k)
+        return [at, *(run_hashes(h, k)[at] for h in hashes)]
 
 
 def per_document(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -125,7 +163,3 @@ def per_document(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:], dtype=np.int64)
     return total[offsets[1:]] - total[offsets[:-1]]
-
-
-def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return range_hashes(_BYTE[data], starts, ends)

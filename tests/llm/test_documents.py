@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import hard
@@ -168,44 +169,55 @@ def test_components_of_long_paths(spark, monkeypatch):
         assert got == {i: 0 for i in range(1, n + 1)} | {1000 + i: 1000 for i in range(1, 60)}
 
 
-def test_chunks_cover_the_signature_distance():
-    """Signatures with up to 2 * chunks - 1 wrong symbols share a key."""
+@pytest.mark.parametrize("percent", [80, 85])
+def test_chunks_cover_the_signature_distance(percent):
+    """Signatures within the distance of candidates share a key, wherever the wrong symbols are."""
     rs = np.random.RandomState(0)
-    m = neardup.n_chunks(0.85)
-    sig = rs.randint(0, 256, (200, neardup.SYMBOLS)).astype(np.uint8)
+    far = neardup.reach(percent / 100)
+    parts = neardup.chunks_for(far)
+    assert sorted(np.concatenate(parts)) == list(range(neardup.SYMBOLS)) and far <= 2 * len(parts) - 1
+    sig = rs.randint(0, 1 << 16, (300, neardup.SYMBOLS)).astype(np.uint16)
     other = sig.copy()
-    for row in other:
-        at = rs.choice(m * neardup.CHUNK, 2 * m - 1, replace=False)
-        row[at] ^= 1
-    assert (neardup._chunk_keys(sig, m) == neardup._chunk_keys(other, m)).any(1).all()
+    for n, row in enumerate(other):
+        # As evenly over the chunks as can be, or anywhere.
+        turn = np.argsort([np.flatnonzero(p == i)[0] + rs.rand() for p in parts for i in p])
+        row[(turn if n % 2 else rs.permutation(neardup.SYMBOLS))[:far]] ^= 1
+    assert (neardup._chunk_keys(sig, parts) == neardup._chunk_keys(other, parts)).any(1).all()
 
 
 # 8: repeated windows
 
 
 def plain_removals(rows):
+    """The kept words of each (id, text); texts of one id come in the order of their hashes."""
+    signed = lambda t: int(np.uint64(xxhash.xxh64(t.encode(), seed=42).intdigest()).astype(np.int64))
     seen, out = set(), {}
-    for i, t, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        if i in out:
-            continue  # a repeated row is the same document
+    for i, t in sorted({(r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None}, key=lambda r: (r[0], signed(r[1]))):
         w = words(t)
         gone = set()
         for j in range(len(w) - 19):
             if tuple(w[j : j + 20]) in seen:
                 gone |= set(range(j, j + 20))
             seen.add(tuple(w[j : j + 20]))
-        out[i] = " ".join(x for j, x in enumerate(w) if j not in gone)
+        out[i, t] = " ".join(x for j, x in enumerate(w) if j not in gone)
     return out
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-def test_substrings(batches, docs, spark):
-    got = substrings.without_repetitions(docs, batches).toPandas()
-    want = plain_removals(hard.ROWS)
-    assert len(got) == len(hard.ROWS)
-    for r in got.itertuples():
-        if not pd.isna(r.doc_id):
-            assert r.kept_text == want[r.doc_id] and r.n_words - r.n_removed == len(words(r.kept_text))
+def removals(spark, rows, batches, make=hard.documents):
+    """What the operator keeps of each row, with the numbers checked."""
+    got = substrings.without_repetitions(make(spark, rows), batches).collect()
+    assert len(got) == len(rows) and all(r.n_words - r.n_removed == len(words(r.kept_text)) for r in got)
+    return collections.Counter((r.doc_id, r.n_words, r.kept_text) for r in got)
+
+
+@pytest.mark.parametrize("clashes", [False, True])
+@pytest.mark.parametrize("batches", [1, 3, 5])
+def test_substrings(batches, clashes, spark):
+    shared = " ".join(f"s{i}" for i in range(25))
+    rows = [*hard.ROWS, (2**63 - 1, shared, "en", "a"), (-(2**63), shared + " tail", "en", "a"), (30, " ".join(f"u{i}" for i in range(25)), "", ""), (30, shared, "", ""), (30, shared, "", ""), (30, shared + " x", "", "")]
+    want = plain_removals(rows)
+    kept = collections.Counter((i, len(words(t)), " ".join(words(t)) if i is None or t is None else want[i, t]) for i, t, *_ in rows)
+    assert removals(spark, rows, batches, lambda s, r: hard.clashing(hard.documents(s, r)) if clashes else hard.documents(s, r)) == kept
     assert substrings.without_repetitions(hard.empty(spark)).count() == 0
 
 
@@ -223,16 +235,43 @@ def test_windows_within_a_document(spark):
             w += [f"q{j % 3}" for j in range(rs.choice((22, 23, 47)))]
         rows.append((i, " ".join(w), "en", "a"))
     got = {r.doc_id: r.kept_text for r in substrings.without_repetitions(hard.documents(spark, rows), 2).collect()}
-    assert got == plain_removals(rows)
+    assert got == {i: t for (i, _), t in plain_removals(rows).items()}
+
+
+def test_an_index_grows_and_is_opened_again(spark, tmp_path, monkeypatch):
+    """Batches one by one, each with an index opened from its folder; merged runs; texts that are read again."""
+    rows = [(i, " ".join(f"w{(i // 2 if i < 8 else i - 8) * 40 + j}" for j in range(60)), "en", "a") for i in range(12)]
+    d = substrings.documents(hard.documents(spark, rows))
+    folder = f"file://{tmp_path}/index"
+    index, got, read = substrings.Index(spark, folder, fanout=2, buckets=3), {}, []
+    told = substrings.Index._told_windows
+    monkeypatch.setattr(substrings.Index, "_told_windows", lambda self, docs, bits: read.append(sorted(r.doc for r in docs.select("doc").collect())) or told(self, docs, bits))
+    for a in range(0, 12, 2):
+        gone = index.ingest([d.where(f"doc between {a} and {a + 1}")], d.where(f"doc < {a}"))
+        for r in gone.collect():
+            got.setdefault(r.doc, set()).update(range(r.start, r.start + r.n))
+        index.save()
+        assert all(len(names) <= 3 for names in index.runs.values())
+        for names in index.runs.values():
+            for name in names:
+                spark.sql(f"DROP TABLE {name}")
+        index = substrings.Index.open(spark, folder)
+    seen, want = set(), {}
+    for i, t, *_ in rows:
+        w = words(t)
+        want |= {i: {j for j in range(41) if tuple(w[j : j + 20]) in seen}}
+        seen |= {tuple(w[j : j + 20]) for j in range(41)}
+    assert got == {i: s for i, s in want.items() if s}
+    # Each batch once, and of the earlier texts those alone whose anchors a batch is the first to repeat.
+    assert sum(len(x) for x in read) <= 12 + 8 and not any(max(x) < 2 for x in read[1:] if len(x) > 2)
+    index.drop()
+    assert not (tmp_path / "index").exists() and not [t.name for t in spark.catalog.listTables() if "_run_" in t.name]
 
 
-def test_compaction_keeps_the_answer(spark):
-    rows = [(i, " ".join(f"w{i // 2 * 40 + j}" for j in range(60)), "en", "a") for i in range(12)]
-    d = hard.documents(spark, rows).select("doc_id", "text")
-    index = substrings.Index(spark, fanout=2, buckets=3)
-    n = [index.ingest(d.where(f"doc_id between {a} and {a + 1}")).agg(F.sum("n")).first()[0] for a in range(0, 12, 2)]
-    assert len(index.runs) <= 3 and n == [41, 42, 42, 42, 42, 42]
-    index.drop()
+def test_repeated_calls_leave_nothing(spark):
+    rows = [(i, " ".join(f"w{i % 2}x{j}" for j in range(30)), "en", "a") for i in range(6)]
+    substrings.without_repetitions(hard.documents(spark, rows)).count()
+    assert not [t.name for t in spark.catalog.listTables() if "_run_" in t.name]
 
 
 # 10: quality

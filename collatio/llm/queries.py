@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from collatio.llm import langid, licenses, mixing, neardup, packing, pii, quality, substrings, topk, toxicity
 from collatio.llm.sampling import held_out
+from collatio.llm.staging import staged
 from collatio.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,8 +114,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates for personal data."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = pii.replaced(docs)
-    return out.select("doc_id", F.size("entity_types").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct("entity_types")), ",").alias("types"), "text")
+    out = staged(pii.replaced(docs, pii.session_key(spark), pairs=True), "surrogates")
+    # How many surrogates of the corpus are no one entity's, and entities torn: none, or the rows say so.
+    wrong = pii.collisions(pii.entities(out)).count()
+    return out.select("doc_id", F.size("entity_types").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct("entity_types")), ",").alias("types"), "text", F.lit(wrong).cast("long").alias("n_collisions"))
 
 
 @query

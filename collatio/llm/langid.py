@@ -2,15 +2,18 @@
 
 For each language a suffix automaton is built of labelled text. A text is parsed by it into phrases,
 each the longest match with the language's text from where the last one ended; the language that
-needs the fewest phrases, times the bits of a place in its text, wins. All documents of a chunk and
-all languages are parsed in step: texts are letters with single blanks between words, in segments of
+needs the fewest phrases, times the bits of a place in its text, wins. All documents of a chunk
+are parsed in step: texts are letters with single blanks between words, in segments of
 `SEGMENT`, which only costs a phrase at each segment's end in every language alike.
 
-Learnt from a sample of at most about `DOCUMENTS` labelled documents a language, `EXCERPT` characters
-of each, `CHARACTERS` in all languages together, so the automata have a bounded size. Null texts and
-such without a letter are `und` with score 0, and so is everything if nothing could be learnt. The
-score is the share of phrases that the best language saves against the second. Equal costs go to the
-smaller name. Rows are independent; long texts are parsed whole.
+Learnt from a sample of labelled documents: whole ones, in the order of a hash, until a language has
+`LETTERS` letters, and of `DOCUMENTS` at most; so an automaton is larger than that bound by its last
+document at most. Every letter counts, in every script. The transitions of a language's `DENSE` commonest
+letters are a table, those of all others are sorted pairs. Null texts and such without a letter are `und`
+with score 0, and so is everything if nothing could be learnt. The score is the share of phrases that the
+best language saves against the second. Equal costs go to the smaller name. Rows are independent; repeated
+ones get a row each, and long texts are parsed whole; an empty table gives an empty result. Rows with a
+null id may be learnt from, each by its own text.
 """
 
 from __future__ import annotations
@@ -30,10 +33,8 @@ from collatio.llm.words import chunks
 
 SEGMENT = 512
 DOCUMENTS = 60
-EXCERPT = 300
-CHARACTERS = 400_000
-PER_LANGUAGE = 16_000
-LETTERS = 250
+LETTERS = 24_000
+DENSE = 32
 
 
 def normalised(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,8 +49,8 @@ def normalised(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.where(ok, points, 32)[keep], total[offsets]
 
 
-def automaton(text: np.ndarray, size: int) -> np.ndarray:
-    """The suffix automaton of a sequence of codes below `size`: a row of next states for each state, -1 for none."""
+def automaton(text: np.ndarray) -> list[dict[int, int]]:
+    """The suffix automaton of a sequence of codes: the next states of each state."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in text.tolist():
@@ -75,44 +76,77 @@ def automaton(text: np.ndarray, size: int) -> np.ndarray:
                 q = copy
             link[new] = q
         last = new
-    table = np.full((len(nxt), size), -1, np.int32)
-    for s, to in enumerate(nxt):
-        for c, t in to.items():
-            table[s, c] = t
-    return table
+    return nxt
+
+
+class Language:
+    """One automaton: a table for common letters, sorted (state, letter) pairs for the others."""
+
+    def __init__(self, text: np.ndarray, n_codes: int) -> None:
+        states = automaton(text)
+        common = [c for c, _ in Counter(text.tolist()).most_common(DENSE)]
+        self.dense = np.full(n_codes + 1, DENSE, np.int8)
+        self.dense[common] = np.arange(len(common))
+        self.n_codes, self.bits = n_codes, float(np.log2(len(text) + 1))
+        self.table = np.full((len(states), DENSE + 1), -1, np.int32)
+        rare: list[tuple[int, int]] = []
+        for s, to in enumerate(states):
+            for c, t in to.items():
+                if self.dense[c] < DENSE:
+                    self.table[s, self.dense[c]] = t
+                else:
+                    rare.append((s * n_codes + c, t))
+        rare.sort()
+        self.table = self.table.ravel()
+        self.keys, self.targets = (np.array(x, np.int64) for x in zip(*rare, strict=True)) if rare else (np.zeros(0, np.int64),) * 2
+
+    def next(self, state: np.ndarray, dense: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The next state of each, -1 for none."""
+        to = self.table[state * (DENSE + 1) + dense]
+        if len(self.keys):
+            rare = np.flatnonzero((dense == DENSE) & (codes < self.n_codes))
+            if len(rare):
+                key = state[rare].astype(np.int64) * self.n_codes + codes[rare]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                to[rare] = np.where(self.keys[at] == key, self.targets[at], -1)
+        return to
+
+    def phrases(self, codes: np.ndarray, begin: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """The phrases of segments of codes, of which active[t] are longer than t, the longest first."""
+        dense = self.dense[codes]
+        state, count = np.zeros(len(begin), np.int32), np.ones(len(begin), np.int64)
+        for t, n in enumerate(active.tolist()):
+            c, d = codes[begin[:n] + t], dense[begin[:n] + t]
+            to = self.next(state[:n], d, c)
+            miss = np.flatnonzero(to < 0)
+            count[miss] += 1
+            to[miss] = np.maximum(self.next(np.zeros(len(miss), np.int32), d[miss], c[miss]), 0)
+            state[:n] = to
+        return count
 
 
 class Model:
-    """The automata of the languages as one table, and the codes of the letters they know."""
+    """The automata of the languages, and the codes of the letters that any of them knows."""
 
     def __init__(self, texts: dict[str, str]) -> None:
-        column = pa.array(list(texts.values()), pa.string())
-        points, offsets = normalised(*code_points(column))
-        share = min(PER_LANGUAGE, CHARACTERS // max(1, len(texts)))
-        parts = {name: points[offsets[i] : min(offsets[i + 1], offsets[i] + share)] for i, name in enumerate(texts)}
-        common = Counter(int(p) for x in parts.values() for p in x.tolist()).most_common(LETTERS)
-        self.letters = np.array(sorted(p for p, _ in common), np.uint32)
-        self.size = len(self.letters) + 1  # the last code is any other letter
+        points, offsets = normalised(*code_points(pa.array(list(texts.values()), pa.string())))
+        parts = {name: points[offsets[i] : offsets[i + 1]] for i, name in enumerate(texts)}
+        self.letters = np.unique(points)
         self.names = sorted(n for n in parts if len(parts[n]))
-        tables, at = [], 0
-        self.roots, self.bits = [], []
-        for n in self.names:
-            t = automaton(self.codes(parts[n]), self.size)
-            tables.append(np.where(t >= 0, t + at, -1).astype(np.int32))
-            self.roots.append(at)
-            self.bits.append(np.log2(len(parts[n]) + 1))
-            at += len(t)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        self.languages = [Language(self.codes(parts[n]), len(self.letters)) for n in self.names]
+        self.bits = [x.bits for x in self.languages]
 
     def codes(self, points: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.letters, points)
-        at[at == len(self.letters)] = 0
-        return np.where(self.letters[at] == points, at, len(self.letters)) if len(self.letters) else np.zeros(len(points), np.int64)
+        """Each letter's number; that of unknown ones is the number of known ones."""
+        if not len(self.letters):
+            return np.zeros(len(points), np.int32)
+        at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
+        return np.where(self.letters[at] == points, at, len(self.letters)).astype(np.int32)
 
     def phrases(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The phrases of each text (rows) in each language, and the letters and blanks of each text."""
         points, offsets = normalised(*code_points(column))
-        codes = self.codes(points).astype(np.int32)
+        codes = self.codes(points)
         lengths = np.diff(offsets)
         parts = -(-lengths // SEGMENT)
         doc = np.repeat(np.arange(len(lengths)), parts)
@@ -120,21 +154,10 @@ class Model:
         size = np.minimum(SEGMENT, offsets[1:][doc] - begin)
         order = np.argsort(-size, kind="stable")
         doc, begin, size = doc[order], begin[order], size[order]
-        roots = np.array(self.roots, np.int32)[:, None]
-        state = np.repeat(roots, len(doc), axis=1)
-        count = np.ones(state.shape, np.int32)
-        active = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # segments longer than t
-        for t in range(int(size.max(initial=0))):
-            n = active[t]
-            c = codes[begin[:n] + t]
-            to = self.table[state[:, :n] * self.size + c]
-            miss = to < 0
-            count[:, :n] += miss
-            restart = np.maximum(self.table[roots * self.size + c], roots)
-            state[:, :n] = np.where(miss, restart, to)
+        active = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), side="left")
         total = np.zeros((len(lengths), len(self.names)), np.int64)
-        for k in range(len(self.names)):
-            total[:, k] = np.bincount(doc, weights=count[k], minlength=len(lengths))
+        for k, language in enumerate(self.languages):
+            total[:, k] = np.bincount(doc, weights=language.phrases(codes, begin, active), minlength=len(lengths))
         return total, lengths
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -157,14 +180,16 @@ class Model:
 
 def learn(docs: DataFrame) -> Model:
     """A model of the labelled rows (doc_id, text, lang) of `docs`."""
-    rows = docs.where("lang is not null and text is not null").select("doc_id", "lang", F.substring("text", 1, 4 * EXCERPT).alias("text"))
-    # The sample is of bounded size: so many documents a language, so many characters of each.
-    found = draw(rows, "lang", 2 * DOCUMENTS).select("lang", "draw", "text").collect()
+    rows = docs.where("lang is not null and text is not null").select("lang", "text", F.col("doc_id").alias("a"), F.xxhash64("text").alias("b"))
+    # The sample is of bounded size: so many documents a language. Equal rows are one.
+    found = draw(rows, "lang", 2 * DOCUMENTS, "a", "b").select("lang", "draw", "text").distinct().collect()
     texts: dict[str, list[str]] = {}
+    size: Counter[str] = Counter()
     for r in sorted(found, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        own = texts.setdefault(r["lang"], [])
-        if len(own) < DOCUMENTS and any(c.isalpha() for c in r["text"]):
-            own.append(r["text"][-EXCERPT:])
+        n, own = sum(map(str.isalpha, r["text"])), texts.setdefault(r["lang"], [])
+        if n and len(own) < DOCUMENTS and size[r["lang"]] < LETTERS:
+            own.append(r["text"])
+            size[r["lang"]] += n
     return Model({n: " ".join(t) for n, t in texts.items() if t})
 
 

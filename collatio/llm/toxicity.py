@@ -1,15 +1,18 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, written and trained in numpy.
 
-A token is a letter run in lower case. Its input joins a word vector and the mean of the vectors of
-its character grams (both hashed into tables of fixed size), so unseen words are read by their
-spelling. Windows of `WIDTH` tokens, each starting `STRIDE` after the last one, cover every text whole;
-two recurrent passes read a window, attention pools their states, and a document's score is a
-calibrated logistic of its highest window.
+A token is a letter run in lower case, longer ones than `LONGEST` in pieces. Its input joins a word vector
+and the mean of the vectors of its character grams (both hashed into tables of fixed size), so unseen words
+are read by their spelling. The vectors begin as noise and are learnt with the network. Windows of `WIDTH`
+tokens, each starting `STRIDE` after the last one, cover every text whole; two recurrent passes read a window,
+attention pools their states, and a document's score is a calibrated logistic of its highest window.
 
 The network is fitted on a bounded sample of labelled documents (`PER_LABEL` of each label): from each,
-the windows that the tables' first estimate finds most toxic, and one at random. Everything else runs
-over all documents. Null, empty and letterless texts are scored as one empty window. Without rows of
-both labels there is nothing to learn, and all scores are 0. Rows are independent of each other.
+the window that seems most toxic, first by how often labels hold its words, then to the network itself, and of
+documents that aren't toxic one at random. Everything else runs over all documents. Null, empty and letterless
+texts are scored as one empty window. Without rows of both labels there is nothing to learn, and all scores are
+0. Rows are independent of each other: repeated ones get a row each, ids may be null, long texts are read whole,
+and an empty table gives an empty result. Of rows with one id one text is learnt from, and none with a null id;
+only doc_id and toxic of the labels are read.
 """
 
 from __future__ import annotations
@@ -26,14 +29,20 @@ from collatio.llm.sampling import draw, held_out
 from collatio.llm.staging import small_batches
 from collatio.llm.words import chunks, joined, mix, run_hashes
 
-WIDTH, STRIDE = 24, 16
+WIDTH, STRIDE = 24, 8
 WORDS, GRAMS = 1 << 16, 1 << 15
 DIM, HIDDEN = 4, 8
+#: Spread of the first vectors, and how much faster than the network they learn.
+NOISE, FASTER = 0.1, 10
+#: How often the windows to learn from are chosen, first by the slots' odds, then by the network itself.
+ROUNDS = 2
+#: Documents of the sample that hold a slot which is learnt.
+LEAST = 3
 PER_LABEL = 2500
-LONGEST = 32  # characters of a word whose grams are read
-EPOCHS, BATCH, RATE = 8, 256, 0.01
+LONGEST = 32  # letters of a token
+EPOCHS, BATCH, RATE = 4, 256, 0.01
 #: Small samples are read more often, until there are so many steps or epochs.
-STEPS, MOST_EPOCHS = 250, 40
+STEPS, MOST_EPOCHS = 250, 20
 THRESHOLD = 0.3
 #: Characters that the fit reads at a time.
 FIT_CHUNK = 400_000
@@ -43,7 +52,7 @@ class Tokens:
     """The distinct tokens of a chunk with the slots of their vectors, and which token stands where."""
 
     def __init__(self, column: pa.Array) -> None:
-        r = Runs(column)
+        r = Runs(column, LONGEST)
         h, first, self.at = np.unique(r.hashes(), return_index=True, return_inverse=True)
         self.first, self.hash = r.first, h
         self.word = (h & np.uint64(WORDS - 1)).astype(np.int64)
@@ -229,6 +238,13 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
     if not (0 < y.sum() < len(y)):
         return None
     rs = np.random.RandomState(5)
+    # Every fifth text is left for the calibration, if there is enough of both labels.
+    own = np.arange(len(y)) % 5 != 4
+    if len({*y[own]}) > 1 and len({*y[~own]}) > 1:
+        later = [(t, v) for t, v, o in zip(texts, y, own, strict=True) if not o]
+        texts, y = [t for t, o in zip(texts, own, strict=True) if o], y[own]
+    else:
+        later = list(zip(texts, y, strict=True))
     cuts = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // FIT_CHUNK)) + 1
     ranges = list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True))
     read = lambda a, b: Tokens(pa.array(texts[a:b], pa.string()))
@@ -239,17 +255,48 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
             own = np.unique(t.at[t.first[d] : t.first[d + 1]])
             holds_word[y[a + d], np.unique(t.word[own])] += 1
             holds_gram[y[a + d], np.unique(t.part(own)[0])] += 1
-    words, grams = (0.05 * rs.randn(k, DIM).astype(np.float32) for k in (WORDS, GRAMS))
-    words[:, 0], grams[:, 0] = _log_odds(holds_word, y), _log_odds(holds_gram, y)
-    net = Network(words, grams)
+    # The vectors begin as noise, those of slots that fewer documents hold stay 0; how often labels hold a slot only says which windows to learn from.
+    net = Network(*(NOISE * rs.randn(h.shape[1], DIM).astype(np.float32) * (h.sum(0) >= LEAST)[:, None] for h in (holds_word, holds_gram)))
+    net.past = [np.where(v.any(1, keepdims=True), 1e-12, np.inf).astype(np.float32) * np.ones(DIM, np.float32) for v in (net.words, net.grams)]
+    odds = [_log_odds(h, y)[:, None] for h in (holds_word, holds_gram)]
+    first_guess = lambda t, index: t.inputs(*odds).max(1)[index].max(1)
+    own_guess = lambda t, index: net.logits(t)[0]
+    moments: dict[str, list] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
+    step = 0
+    for guess in (first_guess, *[own_guess] * (ROUNDS - 1)):
+        tokens, index, target = _lessons(texts, y, ranges, read, guess, rs)
+        batch = min(BATCH, max(32, len(index) // 16))
+        epochs = max(EPOCHS, min(MOST_EPOCHS, STEPS * batch // len(index)))
+        for epoch in range(epochs):
+            turn = rs.permutation(len(index))
+            for s in range(0, len(turn), batch):
+                t = turn[s : s + batch]
+                used, local = np.unique(index[t], return_inverse=True)
+                sub = _Subset(tokens, used)
+                g, de, _ = net.gradients(sub.inputs(net.words, net.grams), local.reshape(len(t), WIDTH), target[t])
+                step += 1
+                rate = RATE * (1 - epoch / epochs)
+                for k, v in net.p.items():
+                    m = moments[k]
+                    m[0] = 0.9 * m[0] + 0.1 * g[k]
+                    m[1] = 0.999 * m[1] + 0.001 * g[k] ** 2
+                    v -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
+                sub.update(net, de, rate)
+    top = np.concatenate([net.highest(Tokens(pa.array([t], pa.string())), 1) for t, _ in later])
+    net.scale, net.shift = _calibrated(top, np.array([v for _, v in later]))
+    del net.past
+    return net
+
+
+def _lessons(texts: list[str], y: np.ndarray, ranges: list[tuple[int, int]], read, guess, rs: np.random.RandomState) -> tuple[Tokens, np.ndarray, np.ndarray]:
+    """The windows to learn from: of each text the one that `guess` finds most toxic, and of others than toxic ones one at random."""
     kept: list[tuple[_Kept, np.ndarray]] = []
     places: list[np.ndarray] = []
     goals: list[np.ndarray] = []
     for a, b in ranges:
         t = read(a, b)
         index, doc = t.windows()
-        guess = t.inputs(words[:, :1], grams[:, :1]).max(1)[index].max(1)
-        order = np.lexsort((-guess, doc))
+        order = np.lexsort((-guess(t, index), doc))
         first, count = np.searchsorted(doc[order], np.arange(b - a)), np.bincount(doc, minlength=b - a)
         other = order[first + (rs.rand(b - a) * count).astype(np.int64)]
         chosen = np.concatenate([order[first], other[y[a:b] == 0]])
@@ -260,32 +307,7 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
         goals.append(y[a:b][doc[chosen]])
     tokens, ids = Tokens.joined(kept)
     index = np.concatenate([np.append(i, len(tokens.word))[p] for i, p in zip(ids, places, strict=True)])
-    target = np.concatenate(goals).astype(np.float32)
-    chosen = np.arange(len(index))
-    moments: dict[str, list] = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
-    step = 0
-    batch = min(BATCH, max(32, len(chosen) // 16))
-    epochs = max(EPOCHS, min(MOST_EPOCHS, STEPS * batch // len(chosen)))
-    for epoch in range(epochs):
-        turn = rs.permutation(len(chosen))
-        for s in range(0, len(turn), batch):
-            t = chosen[turn[s : s + batch]]
-            used, local = np.unique(index[t], return_inverse=True)
-            local = local.reshape(len(t), WIDTH)
-            sub = _Subset(tokens, used)
-            e = sub.inputs(net.words, net.grams)
-            g, de, _ = net.gradients(e, local, target[turn[s : s + batch]])
-            step += 1
-            rate = RATE * (1 - epoch / epochs)
-            for k, v in net.p.items():
-                m = moments[k]
-                m[0] = 0.9 * m[0] + 0.1 * g[k]
-                m[1] = 0.999 * m[1] + 0.001 * g[k] ** 2
-                v -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
-            sub.update(net, de, rate)
-    top = np.concatenate([net.highest(read(a, b), b - a) for a, b in ranges])
-    net.scale, net.shift = _calibrated(top, y)
-    return net
+    return tokens, index, np.concatenate(goals).astype(np.float32)
 
 
 class _Subset:
@@ -306,10 +328,14 @@ class _Subset:
         return out
 
     def update(self, net: Network, de: np.ndarray, rate: float) -> None:
-        """A plain step on the vectors of the tokens."""
+        """A step on the vectors of the tokens, each slot's as long as its past gradients allow."""
         d = de[self.real]
-        np.add.at(net.words, self.word, -20 * rate * d[:, :DIM])
-        np.add.at(net.grams, self.gram, -20 * rate * (d[:, DIM:] / self.size[:, None])[self.owner])
+        for table, past, slots, g in ((net.words, net.past[0], self.word, d[:, :DIM]), (net.grams, net.past[1], self.gram, (d[:, DIM:] / self.size[:, None])[self.owner])):
+            own, at = np.unique(slots, return_inverse=True)
+            total = np.zeros((len(own), DIM), np.float32)
+            np.add.at(total, at, g)
+            past[own] += total * total
+            table[own] -= FASTER * rate * total / (np.sqrt(past[own]) + 1e-8)
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -342,8 +368,9 @@ def trained(docs: DataFrame, labels: DataFrame) -> Network | None:
     """Of labelled documents that aren't held out, PER_LABEL of each label or so."""
     rows = labels.where("toxic in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     # So few rows at most that they may be sent to every executor.
-    some = F.broadcast(draw(rows, "toxic", PER_LABEL).select("doc_id", "toxic", "draw"))
-    found = docs.select("doc_id", "text").join(some, "doc_id").where("text is not null").select("toxic", "draw", "text").collect()
+    some = F.broadcast(draw(rows, "toxic", PER_LABEL, "doc_id").select("doc_id", "toxic", "draw"))
+    # Of rows with one id one text is learnt from, so no more come to the driver than were drawn.
+    found = docs.select("doc_id", "text").join(some, "doc_id").where("text is not null").groupBy("doc_id", "toxic", "draw").agg(F.min("text").alias("text")).collect()
     found = sorted(found, key=lambda r: (r["draw"], r["toxic"], r["text"]))
     return fit([r["text"] for r in found], np.array([r["toxic"] for r in found], np.int64))
 

@@ -408,12 +408,14 @@ def test_licences(spark, docs):
 # 4 and 9: models
 
 
-def test_automata_find_the_longest_matches():
+@pytest.mark.parametrize("dense", [0, 2, 32])
+def test_automata_find_the_longest_matches(dense, monkeypatch):
+    monkeypatch.setattr(langid, "DENSE", dense)
     rs = random.Random(9)
     texts = {n: "".join(rs.choice(a) for _ in range(300)) for n, a in (("x", "ab "), ("y", "abc "))}
     model = langid.Model(texts)
     norm = lambda t: "".join(chr(p) for p in langid.normalised(*langid.code_points(pa.array([t])))[0])
-    train = {n: norm(t)[: langid.PER_LANGUAGE] for n, t in texts.items()}
+    train = {n: norm(t) for n, t in texts.items()}
     for n in texts:
         sample = norm("".join(rs.choice("abc ") for _ in range(120)))
         got, _ = model.phrases(pa.array([sample]))

@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with surrogates for personal data; n_chars, if there, follows the text."""
-    return pii.replaced(docs).select(*pii.fitting(docs.columns))
+    return pii.replaced(docs, pii.session_key(spark)).select(*pii.fitting(docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

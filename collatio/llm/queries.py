@@ -128,7 +128,9 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', ' ', 'g')"
+    out = f"lower({text})"
+    for pattern in (licenses.COPYRIGHT_LINE, licenses.TITLE_LINE, licenses.LIST_MARK):
+        out = f"regexp_replace({out}, '{pattern}', ' ', 'g')"
     out = f"(' ' || regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ')".replace("\\\\", "\\")
     for old, new in licenses.SPELLINGS:
         out = f"replace({out}, ' {old} ', ' {new} ')"
@@ -140,7 +142,7 @@ WITH k AS (SELECT * FROM (VALUES {", ".join(f"('{d}', '{n}')" for d, n in licens
 c AS (SELECT doc_id, {_canonical_sql("text")} AS c FROM documents),
 w AS (SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) END AS text_digest FROM c),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-m AS (SELECT DISTINCT doc_id, name FROM (SELECT doc_id, sha256({_canonical_sql("line")}) AS d FROM l WHERE regexp_matches(lower(line), '{licenses.NOTICE}')) x JOIN k USING (d)),
+m AS (SELECT DISTINCT doc_id, name FROM (SELECT doc_id, sha256({_canonical_sql("line")}) AS d FROM l WHERE regexp_matches(lower(line), '{licenses.GATE}')) x JOIN k USING (d)),
 n AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS names FROM m GROUP BY doc_id)
 SELECT w.doc_id, w.text_digest, k.name AS text_license, coalesce(n.names, '') AS notice_licenses
 FROM w LEFT JOIN k ON w.text_digest = k.d LEFT JOIN n ON w.doc_id = n.doc_id

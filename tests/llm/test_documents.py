@@ -402,7 +402,7 @@ def test_licences(spark, docs):
     assert got == {1: ("MIT", ["MIT"]), 2: (None, []), 3: (None, ["MIT"]), 4: (None, [])}
     assert licenses.scanned(docs).count() == len(hard.ROWS) and licenses.scanned(hard.empty(spark)).count() == 0
     assert licenses.scanned(docs).where("doc_id in (4, 5, 6) and text_digest is not null").count() == 0
-    assert all(d == hashlib.sha256(licenses.canonical_here(t).encode()).hexdigest() for (d, _), (_, t) in zip(licenses.CATALOGUE, licenses.KNOWN, strict=True))
+    assert {(hashlib.sha256(licenses.canonical_here(t).encode()).hexdigest(), n) for n, t in licenses.KNOWN} <= set(licenses.CATALOGUE)
 
 
 # 4 and 9: models

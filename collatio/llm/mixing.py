@@ -25,6 +25,8 @@ ROWS_PER_RANGE = 64
 MAX_RANGES = 4096
 #: Source tables up to this many rows are broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 10_000
+#: Sources are few, such as sites or crawls: their table is sorted and summed in one task, and no more than these are taken.
+MOST_SOURCES = 1_000_000
 
 _SPACE = r"\x20\x09-\x0D"
 
@@ -75,8 +77,12 @@ def mix(docs: DataFrame, key: Column | None = None, keep: tuple[str, ...] = ("do
     key = random_key(F.col("doc_id")) if key is None else key
     own = {c: f"__{k}" for k, c in enumerate(keep)}
     sized = staged(docs.select(*(F.col(f"`{c}`").alias(own[c]) for c in keep), F.col(f"`{source}`").alias("source"), words(F.col(f"`{text}`")).alias("size"), key.alias("key")), "mix-sizes")
-    per_source = staged(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")), **shares), "mix-targets")
-    small = per_source.count() <= BROADCAST_ROWS
+    sums = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")), "mix-sources")
+    n_sources = sums.count()
+    if n_sources > MOST_SOURCES:
+        raise ValueError(f"{n_sources} sources; weights are shared among {MOST_SOURCES} at most")
+    per_source = staged(targets(sums, **shares), "mix-targets")
+    small = n_sources <= BROADCAST_ROWS
     goals = (F.broadcast(per_source) if small else per_source).withColumnRenamed("source", "s")
     ranges = F.least(F.lit(MAX_RANGES), F.ceil(F.col("n_rows") / ROWS_PER_RANGE)).cast("long")
     rows = sized.join(goals, F.col("source").eqNullSafe(F.col("s")), "inner").drop("s").withColumn("range", F.shiftright(F.shiftright("key", 30) * ranges, 30))
@@ -108,20 +114,32 @@ def mixed_documents(docs: DataFrame, **shares) -> DataFrame:
     """The documents of the mix: each as often as it is taken whole, and once more if its last words are, cut there.
 
     One document of a source at most is cut. n_chars, if there, follows the text. The rows need a
-    `doc_id`, `text` and `source`; texts travel through the plan's join once, by id and content.
+    `doc_id`, `text` and `source`; texts travel through the plan's join once, by id and content. Null texts
+    and such without a word are there once for each whole epoch of their source; nulls, repeated rows and other
+    columns stay as they are, and an empty table gives an empty mix.
     """
     names = docs.columns
-    marked = docs.withColumn("__mark", F.xxhash64("doc_id", "text", "source"))
+    own = ["__k", "__mark"]
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__k")
+    marked = docs.select("*", known, F.xxhash64("doc_id", "text", "source").alias("__mark"))
     plan = mix(marked, keep=("doc_id", "__mark"), **shares)
-    # Equal rows are interchangeable: the k-th of them gets the k-th of their plans.
-    nth = lambda *more: F.row_number().over(Window.partitionBy("__k", "__mark").orderBy(*more))
-    known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    plan = plan.withColumn("__k", known).withColumn("__p", nth("taken")).select("__k", "__mark", "__p", "size", "whole_epochs", "cut_words")
-    rows = marked.withColumn("__k", known).withColumn("__n", nth(F.lit(0)))
-    # As a range, so that the join is by the window's own keys and the texts are shuffled once.
-    both = rows.join(plan, ["__k", "__mark"]).where((F.col("__n") <= F.col("__p")) & (F.col("__n") >= F.col("__p")))
-    pieces = F.concat(F.array_repeat(F.col("size"), F.col("whole_epochs").cast("int")), F.when(F.col("cut_words") > 0, F.array("cut_words")).otherwise(F.array().cast("array<bigint>")))
+    # Equal rows follow one another in a source's order, so the cut leaves them all alike but in one group of a source at most.
+    counted = plan.groupBy(known, "__mark", "size", "whole_epochs", "cut_words").agg(F.count("*").alias("n"))
+    plans = staged(counted.groupBy(*own).agg(F.first("size").alias("__size"), F.first("whole_epochs").alias("__epochs"), F.sort_array(F.collect_list(F.struct("cut_words", "n"))).alias("__cuts")), "mix-plans")
+    alike, torn = plans.where("size(__cuts) = 1"), staged(plans.where("size(__cuts) > 1"), "mix-torn")
+    both = marked.join(alike, own).withColumn("__cut", F.col("__cuts")[0]["cut_words"])
+    n_torn = torn.count()
+    if n_torn:
+        # The rows of a torn group are numbered within the pieces that they are written in, so that no task has all of them.
+        rows = marked.join(F.broadcast(torn) if n_torn <= BROADCAST_ROWS else torn, own).withColumn("__m", F.monotonically_increasing_id())
+        rows = staged(rows, "mix-torn-rows").withColumn("__piece", F.shiftright("__m", 33))
+        before = rows.groupBy(*own, "__piece").agg(F.count("*").alias("__rows")).withColumn("__before", F.coalesce(F.sum("__rows").over(Window.partitionBy(*own).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__rows")
+        rank = F.col("__before") + F.row_number().over(Window.partitionBy(*own, "__piece").orderBy("__m")) - 1
+        cut = F.aggregate("__cuts", F.struct(F.col("__rank").alias("left"), F.lit(0).cast("long").alias("cut")), lambda a, c: F.struct((a["left"] - c["n"]).alias("left"), F.when(a["left"] >= 0, c["cut_words"]).otherwise(a["cut"]).alias("cut")), lambda a: a["cut"])
+        numbered = rows.join(before, [*own, "__piece"]).withColumn("__rank", rank).withColumn("__cut", cut)
+        both = both.unionByName(numbered.select(*both.columns))
+    pieces = F.concat(F.array_repeat(F.col("__size"), F.col("__epochs").cast("int")), F.when(F.col("__cut") > 0, F.array("__cut")).otherwise(F.array().cast("array<bigint>")))
     taken = both.withColumn("__words", F.explode(pieces))
-    text = F.when(F.col("__words") < F.col("size"), first_words(F.col("text"), F.col("__words"))).otherwise(F.col("text"))
-    changed = {"text": text} | ({"n_chars": F.when(F.col("__words") < F.col("size"), F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in names else {})
+    text = F.when(F.col("__words") < F.col("__size"), first_words(F.col("text"), F.col("__words"))).otherwise(F.col("text"))
+    changed = {"text": text} | ({"n_chars": F.when(F.col("__words") < F.col("__size"), F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in names else {})
     return taken.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in names))

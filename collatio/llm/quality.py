@@ -4,8 +4,8 @@
 failed rule. A policy is a versioned set of rules, so applying, comparing or ablating policies
 is integer arithmetic on the bits; texts are never read again.
 
-Text null or without words: all measurements 0, which fails `few_words`. Repeated documents get
-one row each. Very long texts are measured whole. Columns of the input that are named like a
+Text null or without words: all measurements 0, which fails `few_words`. Ids aren't read, so null and
+repeated ones are rows like others; an empty table gives an empty ledger. Repeated documents get one row each. Very long texts are measured whole. Columns of the input that are named like a
 measurement are replaced by it in `ledger(..., keep=...)` output only if not in `keep`.
 """
 

@@ -32,6 +32,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op10_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+x AS (SELECT r, unnest(list_transform(range(1, len(ws) - 6), lambda i: struct_pack(i := i, k := array_to_string(ws[i:i+7], ' ')))) AS u FROM w),
+y AS (SELECT r, u.i AS i, count(*) OVER (PARTITION BY r, u.k) AS n FROM x),
+z AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM y WHERE n > 1) GROUP BY r),
+m AS (
+  SELECT w.r, doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(regexp_extract_all(t, '\p{Lu}|\p{Lt}')) AS n_upper, len(regexp_extract_all(t, '\p{L}')) AS n_letters,
+         len(regexp_extract_all(t, '[\x{0E00}-\x{0FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{312F}\x{31A0}-\x{31BF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{A4CF}\x{F900}-\x{FAFF}\x{FE30}-\x{FE4F}\x{FF00}-\x{FF9F}]')) AS n_unspaced
+  FROM w LEFT JOIN z ON w.r = z.r),
+b AS (
+  SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END)
+    + (CASE WHEN n_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
+    + (CASE WHEN word_chars - n_unspaced > 20 * n_words AND 2 * n_unspaced < word_chars THEN 32 ELSE 0 END) + (CASE WHEN 100 * n_upper > 60 * n_letters AND n_words >= 20 THEN 64 ELSE 0 END) AS failed_bits
+  FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, failed_bits = 0 AS kept, CAST(failed_bits AS BIGINT) AS failed_bits
+FROM b
+"""
+
+_LEDGER = ORACLES["op10_quality_rules"].strip()
+ORACLES["quality_ablations"] = "WITH book AS (" + _LEDGER + "), r AS (SELECT unnest(['few_words', 'repeated_words', 'many_symbols', 'duplicate_lines', 'short_words', 'long_words', 'shouting']) AS rule, unnest([1, 2, 4, 8, 16, 32, 64]) AS bit) " + """
+SELECT rule, CAST(count(*) FILTER (failed_bits & bit <> 0) AS BIGINT) AS n_failed, CAST(count(*) FILTER (failed_bits = bit) AS BIGINT) AS n_failed_alone, CAST(count(*) FILTER (failed_bits & ~bit = 0) AS BIGINT) AS n_kept_without
+FROM book, r GROUP BY rule
+"""
+
+
+@query
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each rule of policy v1: documents that fail it, that fail it alone, and that the policy without it keeps."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")), "v1")
+
+
 @query
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents at 150 % of their words."""

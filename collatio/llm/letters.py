@@ -50,4 +50,4 @@ class Runs:
         self.first = np.searchsorted(self.start, self.offsets)
 
     def hashes(self) -> np.ndarray:
-        return byte_hashes(self.points.view(np.uint8), 4 * self.start, 4 * self.end, 1)[0]
+        return byte_hashes(self.points.view(np.uint8), 4 * self.start, 4 * self.end, 1, 128)[0]

@@ -56,8 +56,11 @@ class Tokens:
         h, first, self.at = np.unique(r.hashes(), return_index=True, return_inverse=True)
         self.first, self.hash = r.first, h
         self.word = (h & np.uint64(WORDS - 1)).astype(np.int64)
-        start, end = r.start[first], r.end[first]
-        points = mix(r.points.astype(np.uint64) + np.uint64(3))
+        size = r.end[first] - r.start[first]
+        end = np.cumsum(size)
+        start = end - size
+        # Only the distinct tokens' letters are read.
+        points = mix(r.points[np.arange(int(size.sum())) + np.repeat(r.start[first] - start, size)].astype(np.uint64) + np.uint64(3))
         # All runs of 3 characters, and the first 3 to 7 ones, marked as such; a shorter token is one itself.
         n3 = np.maximum(end - start - 2, 0)
         owner = np.repeat(np.arange(len(start)), n3)

@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = 2) -> list[np.ndarray]:
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = 2, blockwise: int = BLOCKWISE) -> list[np.ndarray]:
     """One or two independent 64-bit hashes of data[s:e] for each range.
 
     Blocks of 8 bytes go through a bijection one after another, otherwise in each lane, so that no
@@ -44,7 +44,7 @@ def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: i
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
     out = [mix(sizes.astype(np.uint64) * m + c) for m, c in _LANES[:lanes]]
-    at = np.flatnonzero((sizes > 0) & (sizes <= BLOCKWISE))
+    at = np.flatnonzero((sizes > 0) & (sizes <= blockwise))
     step = 0
     while len(at):
         x = blocks[starts[at] + step] & _KEPT[np.minimum(sizes[at] - step, 8)]
@@ -53,7 +53,7 @@ def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: i
             out[1][at] = mix(out[1][at] * _LANES[1][0] + (x << np.uint64(29) | x >> np.uint64(35)))
         step += 8
         at = at[sizes[at] > step]
-    for i in np.flatnonzero(sizes > BLOCKWISE).tolist():
+    for i in np.flatnonzero(sizes > blockwise).tolist():
         digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=16).digest()
         for k in range(lanes):
             out[k][i] = int.from_bytes(digest[8 * k : 8 * k + 8], "little")

@@ -35,7 +35,15 @@ def upper_median(df: DataFrame, value: str, keys: Sequence[str], default: float
 
 
 def median(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.median(value).alias("median"))
+    """keys and median: of the sorted values the middle one, or the mean of the two in the middle, from counts of distinct values."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*keys)
+    ranked = counted.withColumn("__upto", F.sum("__n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("__total", F.sum("__n").over(w))
+    at = lambda place: F.min(F.when(F.col("__upto") > place, F.col(value)))
+    low, high = at(F.floor((F.col("__total") - 1) / 2)), at(F.floor(F.col("__total") / 2))
+    found = ranked.groupBy(*keys).agg(((low.cast("double") + high.cast("double")) / 2).alias("median"))
+    # Groups of nulls alone have no median.
+    return df.select(*keys).distinct().join(found, list(keys), "left") if keys else found
 
 
 def recurring(df: DataFrame, key: Column, unit: str, at_least: int = MIN_REPEATS, name: str = "key") -> DataFrame:

@@ -16,9 +16,11 @@ PART = r"^\s*(I|II|III|IV|V|VI|VII)\s\s+(\S.*?)\s{2,}(\d+)\s*$"
 SECTION = r"^\s*(\d{1,2}\.\d{1,2}(?:\.\d{1,2})?)\s*(\S.*?)[.\s]{3,}(\d+)\s*$"
 CHAPTER = r"^\s*(?:Chapter\s+)?(\d{1,2})\s*:?\s+([A-Z]\S*.*?)\s{2,}(\d+)\s*$"
 ENTRY_START = r"^\s*(?:\d{1,2}\.\d{1,2}(?:\.\d{1,2})?\s+\S|(?:Chapter\s+)?\d{1,2}\s*:?\s+[A-Z])"
-ENDS_IN_PAGE = r"(?:^|\s|\.)(?:\d+|[ivxlcdm]+)\s*$"
+ENDS_IN_PAGE = r"(?i)(?:^|\s)(?:\d+|[ivxlcdm]+)\s*$"
+ORDINAL = r"(?i)^\s*(?:chapter\s+)?(?:\d{1,3}|[ivxlcdm]{1,6})\s*[:.\-–—]?\s+"
+BACK_MATTER = ("Bibliography", "References", "Index", "Appendix")
 NUMERALS = ("I", "II", "III", "IV", "V", "VI", "VII")
-MATCH, HEADING_SIZE, MOST_PAGES = 90.0, 14.0, 50
+MATCH, HEADING_SIZE, FRONT_SIZE, MOST_PAGES = 90.0, 14.0, 16.0, 50
 
 
 def contents_pages(pages: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
@@ -32,18 +34,17 @@ def contents_pages(pages: DataFrame, keys: Sequence[str] = ("book_id",)) -> Data
 
 
 def joined_entries(lines: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
-    """Lines (line_no, text) with entries that wrap put together: an entry's start waits for a line that ends in a page."""
+    """Lines (line_no, text) with entries that wrap put together: an entry's start takes all lines up to one that ends in a page."""
 
     def run(pdf) -> list[dict]:
         out: list[dict] = []
         waiting = False
         for r in pdf.sort_values("line_no").itertuples(index=False):
-            if waiting and not r.__getattribute__("starts"):
+            if waiting:
                 out[-1]["text"] = f"{out[-1]['text'].rstrip()} {r.text.strip()}"
             else:
                 out.append({"line_no": int(r.line_no), "text": r.text})
-                waiting = bool(r.starts)
-            waiting = waiting and not r.ends
+            waiting = not r.ends and (waiting or bool(r.starts))
         return out
 
     clean = kernel.clean_contents_line(F.col("text"))
@@ -93,11 +94,9 @@ def heading_candidates(lines: DataFrame, threshold: Column, keys: Sequence[str]
 
 
 def title_score(candidate: Column, title: Column) -> Column:
-    """How alike a heading and a title are, with or without an ordinal in front."""
-    plain = lambda c: kernel.exact_normal(c)
-    bare = lambda c: F.regexp_replace(c, r"^(?:chapter\s+)?\d+\s*[:.]?\s*", "")
-    a, b = plain(candidate), plain(title)
-    return F.greatest(kernel.indel_ratio(a, b), kernel.indel_ratio(bare(a), bare(b)))
+    """How alike a heading and a title are, with the heading's leading ordinal or without it."""
+    a, b, c = (kernel.exact_normal(x) for x in (candidate, title, F.regexp_replace(candidate, ORDINAL, "")))
+    return F.greatest(kernel.indel_ratio(a, b), kernel.indel_ratio(c, b))
 
 
 def chapter_starts(candidates: DataFrame, titles: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
@@ -125,9 +124,11 @@ def checked(df: DataFrame, condition: Column, message: str) -> DataFrame:
 
 
 def boundary_map(lines: DataFrame, contents_lines: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
-    """Chapters of a book with their title, first and last page and part, from its lines and those of its contents.
+    """The preface and the chapters of a book with their title, first and last page and part, from its lines and those of its contents.
 
-    Fails when it is read if a chapter of the contents begins nowhere or printed and PDF pages aren't a constant apart.
+    The last chapter ends before the first heading of the back matter, or with the book. Fails when it is read if a
+    book's contents have no chapter, a chapter of them begins nowhere, printed and PDF pages aren't a constant apart,
+    or there is no preface.
     """
     from collatio.operators.aggregates import upper_median
     from collatio.operators.geometry import clipped_ends
@@ -135,14 +136,24 @@ def boundary_map(lines: DataFrame, contents_lines: DataFrame, keys: Sequence[str
     k = list(keys)
     found = entries(joined_entries(contents_lines, keys))
     chapters = found.where("kind = 'chapter'").select(*k, F.col("number").cast("int").alias("number"), "title", F.col("printed_page").cast("int").alias("printed_page"))
+    # One row of facts for each book, also for one whose contents weren't found.
+    large = F.col("size") > FRONT_SIZE
+    says = lambda *names: large & (F.col("line_no") < 4) & kernel.strip(F.col("text")).isin(*names)
+    books = lines.groupBy(*k).agg(F.min(F.when(says("Preface"), F.col("page"))).alias("__preface"), F.min(F.when(says(*BACK_MATTER), F.col("page"))).alias("__back"), F.max("page").alias("__last"))
     body = upper_median(lines, "size", keys)
     threshold = F.greatest(F.col("upper_median") * 1.5, F.col("upper_median") + 4)
     heads = heading_candidates(lines.join(body, k).withColumn("__t", threshold), F.col("__t"), keys)
-    placed = chapters.join(chapter_starts(heads, chapters, keys), [*k, "number"], "left")
+    placed = books.join(chapters, k, "left").join(chapter_starts(heads, chapters, keys), [*k, "number"], "left")
+    placed = checked(placed, F.col("number").isNotNull(), "no chapter in the contents")
     placed = checked(placed, F.col("pdf_page").isNotNull(), "a chapter of the contents begins on no page")
-    offset = placed.groupBy(*k).agg(F.count_distinct(F.col("pdf_page") - F.col("printed_page")).alias("__offsets"))
-    placed = checked(placed.join(offset, k), F.col("__offsets") == 1, "printed and PDF pages are not a constant apart").drop("__offsets")
+    placed = checked(placed, F.col("__preface").isNotNull(), "no preface")
+    offset = placed.groupBy(*k).agg(F.count_distinct(F.col("pdf_page") - F.col("printed_page")).alias("__offsets"), F.first(F.col("pdf_page") - F.col("printed_page")).alias("__d"))
+    placed = checked(placed.join(offset, k), F.col("__offsets") == 1, "printed and PDF pages are not a constant apart").drop("__offsets", "__d")
     parts = found.where("kind = 'part'").select(*k, F.col("printed_page").cast("int").alias("__p"), roman_number(F.col("number")).alias("number"))
-    shift = placed.groupBy(*k).agg(F.first(F.col("pdf_page") - F.col("printed_page")).alias("__d"))
-    dividers = parts.join(shift, k).select(*k, "number", (F.col("__p") + F.col("__d")).alias("pdf_page"))
-    return part_of(clipped_ends(placed, dividers, keys).drop("next_page", "divider"), dividers, keys)
+    dividers = parts.join(offset, k).select(*k, "number", (F.col("__p") + F.col("__d")).alias("pdf_page"))
+    body_end = F.coalesce(F.col("__back") - 1, F.col("__last"))
+    ends = clipped_ends(placed, dividers, keys).withColumn("pdf_page_end", F.least(F.coalesce("pdf_page_end", body_end), body_end)).drop("next_page", "divider")
+    whole = part_of(ends, dividers, keys).drop("__preface", "__back", "__last")
+    first = placed.groupBy(*k, "__preface").agg(F.min("pdf_page").alias("__first"))
+    preface = first.select(*k, F.lit(0).alias("number"), F.lit("Preface").alias("title"), F.lit(1).alias("printed_page"), F.col("__preface").alias("pdf_page"), (F.col("__first") - 1).alias("pdf_page_end"), F.lit(None).cast("int").alias("part"))
+    return preface.unionByName(whole.select(*preface.columns))

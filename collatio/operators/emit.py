@@ -56,8 +56,11 @@ def linked(texts: DataFrame, places: DataFrame, bibliography: DataFrame, keys: S
         if c in places.columns:
             on = on & (F.col(c) == F.col(f"__{c}"))
     to = rows.join(p, on, "left")
-    known = bibliography.agg(F.collect_set("number").alias("__known"))  # a book's entries have three digits at most
-    to = to.crossJoin(F.broadcast(known))
+    # A book's entries have three digits at most; they are few, and meet the texts of their own book alone.
+    own = [c for c in k if c in bibliography.columns]
+    known = bibliography.groupBy(*own).agg(F.collect_set("number").alias("__known"))
+    to = to.join(known, own, "left") if own else to.join(known)
+    to = to.withColumn("__known", F.coalesce("__known", F.array().cast(known.schema["__known"].dataType)))
     is_citation = F.col("ref").startswith("[")
     cites = kernel.citations(F.col("ref"))
     entry = F.concat(F.lit("["), F.array_join(F.transform(cites, lambda n: F.concat(F.lit("["), n.cast("string"), F.lit("](/bibliography#ref-"), n.cast("string"), F.lit(")"))), ", "), F.lit("]"))

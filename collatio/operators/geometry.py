@@ -125,13 +125,24 @@ def first_claims(figures: DataFrame, captions: DataFrame, keys: Sequence[str], b
     return best(pairs.where(ok), keys, [F.col("r_order")])
 
 
+#: Starts up to this number, which are counted first, are sent to where the rows are.
+FEW_STARTS = 512
+
+
 def intervals(rows: DataFrame, starts: DataFrame, value: str, start: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows with the interval that holds their value: from a start up to the next one of the same keys.
 
-    Starts are events between the rows in one sort, so no row is compared with every interval.
+    Few starts are looked up where the rows are. Many are events between the rows in one sort, so no row is
+    compared with every interval.
     """
     names = [c for c in starts.columns if c not in keys]
     payload = F.struct(*(F.col(c) for c in names))
+    if starts.limit(FEW_STARTS + 1).count() <= FEW_STARTS:
+        lists = starts.where(F.col(start).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(start).alias("v"), payload.alias("p")))).alias("__starts"))
+        both = rows.join(F.broadcast(lists), list(keys), "left") if keys else rows.join(F.broadcast(lists), how="left")
+        held = F.try_element_at(F.filter("__starts", lambda x: x["v"] <= F.col(value)), F.lit(-1))["p"]
+        found = both.withColumn("__start", held).drop("__starts")
+        return found.select(*rows.columns, *(F.col(f"__start.{c}").alias(f"interval_{c}") for c in names))
     events = starts.select(*keys, F.col(start).alias("__v"), F.lit(0).alias("__kind"), payload.alias("__start"), F.lit(None).cast(rows.select(F.struct("*")).schema[0].dataType).alias("__row"))
     points = rows.select(*keys, F.col(value).alias("__v"), F.lit(1).alias("__kind"), F.lit(None).cast(starts.select(payload).schema[0].dataType).alias("__start"), F.struct("*").alias("__row"))
     w = Window.partitionBy(*keys).orderBy("__v", "__kind").rowsBetween(Window.unboundedPreceding, 0)

@@ -68,6 +68,38 @@ def only_left(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
     return left.select(*on).distinct().join(right.select(*on), list(on), "left_anti")
 
 
+def within(df: DataFrame, reference: Column, candidate: Column, keys: Sequence[str]) -> DataFrame:
+    """keys, total, missing and extra of each row, whose two lists of items are compared as bags within the row.
+
+    The sorted items of both sides, each with a sign, are summed up by runs, so nothing is shuffled and no side is searched.
+    """
+    sign = lambda c, n: F.transform(c, lambda x: F.struct(x.alias("x"), F.lit(n).alias("n")))
+    both = F.array_sort(F.concat(sign(reference, 1), sign(candidate, -1)))
+    start = F.struct(F.lit(None).cast("string").alias("x"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("missing"), F.lit(0).cast("long").alias("extra"))
+
+    def step(a: Column, c: Column) -> Column:
+        same = a["x"].eqNullSafe(c["x"])
+        return F.struct(
+            c["x"].alias("x"), F.when(same, a["n"] + c["n"]).otherwise(c["n"]).cast("long").alias("n"),
+            F.when(same, a["missing"]).otherwise(a["missing"] + F.greatest(a["n"], F.lit(0))).cast("long").alias("missing"), F.when(same, a["extra"]).otherwise(a["extra"] + F.greatest(-a["n"], F.lit(0))).cast("long").alias("extra"),
+        )
+
+    done = F.aggregate("__both", start, step, lambda a: F.struct((a["missing"] + F.greatest(a["n"], F.lit(0))).alias("missing"), (a["extra"] + F.greatest(-a["n"], F.lit(0))).alias("extra")))
+    rows = df.select(*keys, F.size(reference).cast("long").alias("total"), both.alias("__both"))
+    return rows.select(*keys, "total", done.alias("__d")).select(*keys, "total", "__d.missing", "__d.extra")
+
+
+def numbered(df: DataFrame, order: Sequence[str], coarse: Sequence[str], name: str) -> DataFrame:
+    """Rows with their place, from 1, in an order that begins with the `coarse` columns; no task sees all rows.
+
+    Rows are counted by the coarse columns; sums of the counts and places within each give the place.
+    """
+    counts = df.groupBy(*coarse).agg(F.count("*").alias("__n"))
+    before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy(*coarse).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    inside = F.row_number().over(Window.partitionBy(*coarse).orderBy(*order))
+    return df.withColumn("__inside", inside).join(before, list(coarse)).withColumn(name, F.col("__before") + F.col("__inside")).drop("__before", "__inside")
+
+
 def set_difference(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys that only one side has, with the side."""
     return only_left(left, right, on).withColumn("side", F.lit("left")).unionByName(only_left(right, left, on).withColumn("side", F.lit("right")))

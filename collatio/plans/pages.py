@@ -210,13 +210,13 @@ def structural_census(spark: SparkSession, d: str) -> DataFrame:
     return s.select("chapter", F.array_join("figures", ",").alias("figures"), F.element_at("sections", 1).alias("sections"), "exercises", "footnotes")
 
 
-@query("SELECT * FROM (VALUES (1, 'Overview', 10, 14, 1), (2, 'Graphs', 16, -1, 2)) AS t(number, title, pdf_page, pdf_page_end, part)")
+@query("SELECT * FROM (VALUES (0, 'Preface', 7, 9, 0), (1, 'Overview', 10, 14, 1), (2, 'Graphs', 16, 17, 2)) AS t(number, title, pdf_page, pdf_page_end, part)")
 def boundary_map(spark: SparkSession, d: str) -> DataFrame:
-    """Two chapters of a part; the divider of the next part ends the first one early."""
+    """A preface and two chapters; the divider of the next part ends the first one early, the index the last one."""
     toc = [(1, "I   First    1"), (2, "1  Overview     2"), (3, "II   Second    7"), (4, "2  Graphs     8")]
-    big = [(10, "Overview"), (16, "Graphs")]
-    ls = [("b", p, 1, t, 20.0) for p, t in big] + [("b", p, n, "text", 10.0) for p in range(9, 18) for n in range(2, 6)]
+    big = [(7, "Preface"), (10, "Overview"), (16, "III. Graphs"), (18, "Index")]
+    ls = [("b", p, 1, t, 20.0) for p, t in big] + [("b", p, n, "text", 10.0) for p in range(7, 20) for n in range(2, 6)]
     lines = spark.createDataFrame(ls, "book_id string, page int, line_no int, text string, size double")
     contents_lines = spark.createDataFrame([("b", n, t) for n, t in toc], "book_id string, line_no int, text string")
     found = contents.boundary_map(lines, contents_lines)
-    return found.select("number", "title", "pdf_page", F.coalesce("pdf_page_end", F.lit(-1)).alias("pdf_page_end"), "part")
+    return found.select("number", "title", "pdf_page", "pdf_page_end", F.coalesce("part", F.lit(0)).alias("part"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from collatio.functions import kernel
 from collatio.operators import aggregates, gates, geometry, multiset
+from collatio.plans import text
 from collatio.plans.registry import query
 from collatio.session import table
 
@@ -67,7 +68,6 @@ PARTS_SQL = "p AS (SELECT DISTINCT date_trunc('quarter', o_orderdate) AS s FROM
 def interval_assign(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("year"))
     starts = o.select(F.date_trunc("quarter", "o_orderdate").alias("start")).distinct().withColumn("number", F.row_number().over(Window.orderBy("start"))).withColumn("year", F.year("start"))
-    # Quarters don't cross years, so each year is a key and a task of its own.
     return geometry.intervals(o, starts, "o_orderdate", "start", ["year"]).select("o_orderkey", F.col("interval_number").alias("number"))
 
 
@@ -89,37 +89,51 @@ def strided_sample(spark: SparkSession, d: str) -> DataFrame:
     return multiset.strided_whole(table(spark, d, "events").select("event_id", "user_id"), "event_id", 40)
 
 
-GATES_SQL = """
-g AS (SELECT lang, 'text_coverage' AS gate, CASE WHEN avg(n_chars) > 2400 THEN 'PASS' ELSE 'FAIL' END AS status, true AS hard FROM documents GROUP BY lang
- UNION ALL SELECT lang, 'numeric_fidelity', CASE WHEN lang = 'fr' THEN 'BLOCKED' ELSE 'PASS' END, true FROM documents GROUP BY lang
- UNION ALL SELECT lang, 'visual', CASE WHEN lang = 'en' THEN 'FAIL' ELSE 'REVIEWED' END, false FROM documents GROUP BY lang),
-q AS (SELECT lang, gate FROM g WHERE status IN ('FAIL', 'BLOCKED'))
+#: Lines of six fields or more of which four in five are bare numbers, none of them most of these, without a sentence's end.
+SOUP_SQL = rf"""
+sl AS (SELECT lang, line, list_filter(regexp_split_to_array(line, '{text.WS}+'), lambda x: x <> '') AS f FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents)),
+sb AS (SELECT *, list_filter(f, lambda x: regexp_full_match(x, '[-\x{{2212}}]?\p{{Nd}}+(?:\.\p{{Nd}}+)?')) AS b FROM sl WHERE len(f) >= 6 AND NOT regexp_matches(line, '[.!?;:]{text.WS}')),
+soup AS (SELECT lang, substr(line, 1, 160) AS what FROM sb WHERE len(b) >= 0.8 * len(f) AND list_max(list_transform(list_distinct(b), lambda v: len(list_filter(b, lambda x: x = v)))) <= 0.5 * len(b)),
+"""
+GATES_SQL = f"""
+{SOUP_SQL}
+cov AS ({text.COVERAGE_BY_LANGUAGE_SQL}), num AS ({text.NUMERIC_SQL}),
+g AS (SELECT lang, 'text_coverage' AS gate, status, true AS hard FROM cov UNION ALL SELECT lang, 'numeric_fidelity', status, true FROM num
+ UNION ALL SELECT lang, 'visual', CASE WHEN count(*) FILTER (WHERE len(text) > 3000 AND doc_id NOT IN (SELECT doc_id FROM labels)) = 0 THEN 'REVIEWED' ELSE 'FAIL' END, false FROM documents GROUP BY lang),
+q AS (SELECT lang, CASE WHEN status = 'FAIL' THEN 'gate_failure' ELSE 'gate_blocked' END AS kind, gate AS what FROM g WHERE status IN ('FAIL', 'BLOCKED') UNION ALL SELECT lang, 'integer_soup', what FROM soup)
 """
 
 
 def _gate_rows(spark: SparkSession, d: str) -> DataFrame:
-    per = table(spark, d, "documents").groupBy("lang").agg(F.avg("n_chars").alias("mean"))
-    rows = F.array(
-        F.struct(F.lit("text_coverage").alias("gate"), F.when(F.col("mean") > 2400, "PASS").otherwise("FAIL").alias("status"), F.lit(True).alias("hard")),
-        F.struct(F.lit("numeric_fidelity").alias("gate"), F.when(F.col("lang") == "fr", "BLOCKED").otherwise("PASS").alias("status"), F.lit(True).alias("hard")),
-        F.struct(F.lit("visual").alias("gate"), F.when(F.col("lang") == "en", "FAIL").otherwise("REVIEWED").alias("status"), F.lit(False).alias("hard")),
-    )
-    return per.select("lang", F.explode(rows).alias("r")).select("lang", "r.*")
+    """The results of three gates by language: coverage and numbers of the documents without boilerplate, and the review of long ones."""
+    coverage = text.coverage_by_language(spark, d).select("lang", F.lit("text_coverage").alias("gate"), "status", F.lit(True).alias("hard"))
+    numbers = text.numeric_by_language(spark, d).select("lang", F.lit("numeric_fidelity").alias("gate"), "status", F.lit(True).alias("hard"))
+    visual = outstanding_all(spark, d).select("lang", F.lit("visual").alias("gate"), "status", F.lit(False).alias("hard"))
+    return coverage.unionByName(numbers).unionByName(visual)
+
+
+def outstanding_all(spark: SparkSession, d: str) -> DataFrame:
+    """The visual gate of every language: its long documents have to have labels."""
+    docs = table(spark, d, "documents")
+    flagged = docs.where(F.length("text") > 3000).select("lang", F.col("doc_id").alias("page"))
+    checked = table(spark, d, "labels").select(F.col("doc_id").alias("page")).join(docs.select(F.col("doc_id").alias("page"), "lang"), "page")
+    return gates.visual(flagged, checked, docs.select("lang").distinct(), ["lang"])
 
 
-def _no_soup(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("false").select("lang", F.lit("integer_soup").alias("reason"), "text")
+def _soup(spark: SparkSession, d: str) -> DataFrame:
+    x = table(spark, d, "documents").select("lang", F.explode(F.split("text", "\n")).alias("text"))
+    return x.where(kernel.is_integer_soup(F.col("text"))).select("lang", F.lit("integer_soup").alias("reason"), "text")
 
 
 @query(f"WITH {GATES_SQL} SELECT g.lang, CASE WHEN bool_or(hard AND status = 'FAIL') THEN 'FAIL' WHEN bool_or(hard AND status = 'BLOCKED') THEN 'BLOCKED' WHEN g.lang IN (SELECT lang FROM q) THEN 'REVIEW' ELSE 'PASS' END AS status FROM g GROUP BY g.lang")
 def gate_status_rollup(spark: SparkSession, d: str) -> DataFrame:
     g = _gate_rows(spark, d)
-    return gates.chapter_status(g, gates.review_queue(_no_soup(spark, d), g, ["lang"]), ["lang"])
+    return gates.chapter_status(g, gates.review_queue(_soup(spark, d), g, ["lang"]), ["lang"])
 
 
-@query(f"WITH {GATES_SQL} SELECT lang, CASE WHEN status = 'FAIL' THEN 'gate_failure' ELSE 'gate_blocked' END AS kind, gate AS what FROM g WHERE status IN ('FAIL', 'BLOCKED')")
+@query(f"WITH {GATES_SQL} SELECT lang, kind, what FROM q")
 def review_queue(spark: SparkSession, d: str) -> DataFrame:
-    return gates.review_queue(_no_soup(spark, d), _gate_rows(spark, d), ["lang"])
+    return gates.review_queue(_soup(spark, d), _gate_rows(spark, d), ["lang"])
 
 
 @query(f"WITH {GATES_SQL} SELECT lang, CAST(count(*) FILTER (WHERE status IN ('PASS', 'REVIEWED')) AS BIGINT) AS gates_passed, CASE WHEN bool_or(status = 'FAIL') THEN 'failing' ELSE 'in progress' END AS status FROM g GROUP BY lang")
@@ -143,19 +157,19 @@ def asset_problems(spark: SparkSession, d: str) -> DataFrame:
     return gates.asset_problems(a, referenced, ["chapter"]).withColumnRenamed("label", "page_id")
 
 
-BOXES = "WITH l AS (SELECT CAST(l_orderkey % 50 AS INT) AS page, ((l_orderkey * 100003 + l_partkey) * 1009 + l_suppkey) * 10 + l_linenumber AS id, CAST(l_partkey % 400 AS DOUBLE) AS x0, CAST(l_suppkey * 7 % 700 AS DOUBLE) AS y0, CAST(l_partkey % 400 + 30 + l_linenumber * 9 AS DOUBLE) AS x1, CAST(l_suppkey * 7 % 700 + 12 AS DOUBLE) AS y1 FROM lineitem), b AS (SELECT CAST(o_orderkey % 50 AS INT) AS page, o_orderkey AS id, CAST(o_custkey % 350 AS DOUBLE) AS x0, CAST(o_orderkey * 13 % 650 AS DOUBLE) AS y0, CAST(o_custkey % 350 + 60 AS DOUBLE) AS x1, CAST(o_orderkey * 13 % 650 + 25 AS DOUBLE) AS y1 FROM orders WHERE o_orderkey % 20 = 0)"
+BOXES = "WITH l AS (SELECT CAST(l_orderkey % 500 AS INT) AS page, ((l_orderkey * 100003 + l_partkey) * 1009 + l_suppkey) * 10 + l_linenumber AS id, CAST(l_partkey % 400 AS DOUBLE) AS x0, CAST(l_suppkey * 7 % 700 AS DOUBLE) AS y0, CAST(l_partkey % 400 + 30 + l_linenumber * 9 AS DOUBLE) AS x1, CAST(l_suppkey * 7 % 700 + 12 AS DOUBLE) AS y1 FROM lineitem), b AS (SELECT CAST(o_orderkey % 500 AS INT) AS page, o_orderkey AS id, CAST(o_custkey % 350 AS DOUBLE) AS x0, CAST(o_orderkey * 13 % 650 AS DOUBLE) AS y0, CAST(o_custkey % 350 + 60 AS DOUBLE) AS x1, CAST(o_orderkey * 13 % 650 + 25 AS DOUBLE) AS y1 FROM orders)"
 OVERLAP_SQL = "greatest(least(l.x1, b.x1) - greatest(l.x0, b.x0), 0) * greatest(least(l.y1, b.y1) - greatest(l.y0, b.y0), 0) / least((l.x1 - l.x0) * (l.y1 - l.y0), (b.x1 - b.x0) * (b.y1 - b.y0))"
 
 
-def _boxes(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    lines = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 50 AS INT) page", "((l_orderkey * 100003 + l_partkey) * 1009 + l_suppkey) * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x0", "CAST(l_suppkey * 7 % 700 AS DOUBLE) y0", "CAST(l_partkey % 400 + 30 + l_linenumber * 9 AS DOUBLE) x1", "CAST(l_suppkey * 7 % 700 + 12 AS DOUBLE) y1")
-    boxes = table(spark, d, "orders").where("true" if whole else "o_orderkey % 20 = 0").selectExpr("CAST(o_orderkey % 50 AS INT) page", "o_orderkey id", "CAST(o_custkey % 350 AS DOUBLE) x0", "CAST(o_orderkey * 13 % 650 AS DOUBLE) y0", "CAST(o_custkey % 350 + 60 AS DOUBLE) x1", "CAST(o_orderkey * 13 % 650 + 25 AS DOUBLE) y1")
+def _boxes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    lines = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 500 AS INT) page", "((l_orderkey * 100003 + l_partkey) * 1009 + l_suppkey) * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x0", "CAST(l_suppkey * 7 % 700 AS DOUBLE) y0", "CAST(l_partkey % 400 + 30 + l_linenumber * 9 AS DOUBLE) x1", "CAST(l_suppkey * 7 % 700 + 12 AS DOUBLE) y1")
+    boxes = table(spark, d, "orders").selectExpr("CAST(o_orderkey % 500 AS INT) page", "o_orderkey id", "CAST(o_custkey % 350 AS DOUBLE) x0", "CAST(o_orderkey * 13 % 650 AS DOUBLE) y0", "CAST(o_custkey % 350 + 60 AS DOUBLE) x1", "CAST(o_orderkey * 13 % 650 + 25 AS DOUBLE) y1")
     return lines, boxes
 
 
 @query(f"{BOXES} SELECT l.page, l.id, b.id AS box, round({OVERLAP_SQL}, 6) AS score FROM l JOIN b ON l.page = b.page WHERE {OVERLAP_SQL} > 0.6")
 def spatial_overlap_join(spark: SparkSession, d: str) -> DataFrame:
-    """Lines that lie in a box by more than 0.6; the boxes are those of every twentieth order alone (all: spatial_overlap_join_all)."""
+    """Lines that lie in a box by more than 0.6."""
     lines, boxes = _boxes(spark, d)
     return geometry.overlapping(lines, boxes, ["page"], 0.6).select("page", "id", F.col("r_id").alias("box"), F.round("score", 6).alias("score"))
 
@@ -172,39 +186,10 @@ def box_containment(spark: SparkSession, d: str) -> DataFrame:
     return geometry.enclosed(lines, boxes, ["page"]).select("page", "id")
 
 
-@query("WITH p AS (SELECT CAST(l_orderkey % 50 AS INT) AS page, l_orderkey * 10 + l_linenumber AS id, CAST(l_partkey % 400 AS DOUBLE) AS x FROM lineitem), c AS (SELECT CAST(o_orderkey % 50 AS INT) AS page, o_orderkey AS k, CAST(o_custkey % 350 AS DOUBLE) AS centre FROM orders WHERE o_orderkey % 300 = 0), j AS (SELECT p.page, id, k, abs(x - centre) AS dist FROM p JOIN c ON p.page = c.page AND abs(x - centre) < 26) SELECT page, id, k AS \"column\" FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY dist, k) AS r FROM j) WHERE r = 1")
+@query("WITH p AS (SELECT CAST(l_orderkey % 500 AS INT) AS page, l_orderkey * 10 + l_linenumber AS id, CAST(l_partkey % 400 AS DOUBLE) AS x FROM lineitem), c AS (SELECT CAST(o_orderkey % 500 AS INT) AS page, o_orderkey AS k, CAST(o_custkey % 350 AS DOUBLE) AS centre FROM orders), j AS (SELECT p.page, id, k, abs(x - centre) AS dist FROM p JOIN c ON p.page = c.page AND abs(x - centre) < 26) SELECT page, id, k AS \"column\" FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY dist, k) AS r FROM j) WHERE r = 1")
 def nearest_column(spark: SparkSession, d: str) -> DataFrame:
-    points = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 50 AS INT) page", "l_orderkey * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x")
-    centres = table(spark, d, "orders").where("o_orderkey % 300 = 0").selectExpr("CAST(o_orderkey % 50 AS INT) page", "o_orderkey column", "CAST(o_custkey % 350 AS DOUBLE) centre")
-    return geometry.nearest(points, centres, ["page"]).select("page", "id", "column")
-
-
-# The four above, over the boxes and centres of all orders.
-ALL_BOXES = BOXES.replace(" WHERE o_orderkey % 20 = 0", "")
-
-
-@query(f"{ALL_BOXES} SELECT l.page, l.id, b.id AS box, round({OVERLAP_SQL}, 6) AS score FROM l JOIN b ON l.page = b.page WHERE {OVERLAP_SQL} > 0.6")
-def spatial_overlap_join_all(spark: SparkSession, d: str) -> DataFrame:
-    lines, boxes = _boxes(spark, d, whole=True)
-    return geometry.overlapping(lines, boxes, ["page"], 0.6).select("page", "id", F.col("r_id").alias("box"), F.round("score", 6).alias("score"))
-
-
-@query(f"{ALL_BOXES}, s AS (SELECT l.page, l.id, b.id AS box, {OVERLAP_SQL} AS score FROM l JOIN b ON l.page = b.page) SELECT page, id, box FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY score DESC, box) AS r FROM s WHERE score > 0.5) WHERE r = 1")
-def box_owner_all(spark: SparkSession, d: str) -> DataFrame:
-    lines, boxes = _boxes(spark, d, whole=True)
-    return geometry.owner(lines, boxes, ["page"]).select("page", "id", F.col("r_id").alias("box"))
-
-
-@query(f"{ALL_BOXES} SELECT l.page, l.id FROM l WHERE EXISTS (SELECT 1 FROM b WHERE b.page = l.page AND l.x0 >= b.x0 - 2 AND l.y0 >= b.y0 - 2 AND l.x1 <= b.x1 + 2 AND l.y1 <= b.y1 + 2)")
-def box_containment_all(spark: SparkSession, d: str) -> DataFrame:
-    lines, boxes = _boxes(spark, d, whole=True)
-    return geometry.enclosed(lines, boxes, ["page"]).select("page", "id")
-
-
-@query("WITH p AS (SELECT CAST(l_orderkey % 50 AS INT) AS page, l_orderkey * 10 + l_linenumber AS id, CAST(l_partkey % 400 AS DOUBLE) AS x FROM lineitem), c AS (SELECT CAST(o_orderkey % 50 AS INT) AS page, o_orderkey AS k, CAST(o_custkey % 350 AS DOUBLE) AS centre FROM orders), j AS (SELECT p.page, id, k, abs(x - centre) AS dist FROM p JOIN c ON p.page = c.page AND abs(x - centre) < 26) SELECT page, id, k AS \"column\" FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY dist, k) AS r FROM j) WHERE r = 1")
-def nearest_column_all(spark: SparkSession, d: str) -> DataFrame:
-    points = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 50 AS INT) page", "l_orderkey * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x")
-    centres = table(spark, d, "orders").selectExpr("CAST(o_orderkey % 50 AS INT) page", "o_orderkey column", "CAST(o_custkey % 350 AS DOUBLE) centre")
+    points = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey % 500 AS INT) page", "l_orderkey * 10 + l_linenumber id", "CAST(l_partkey % 400 AS DOUBLE) x")
+    centres = table(spark, d, "orders").selectExpr("CAST(o_orderkey % 500 AS INT) page", "o_orderkey column", "CAST(o_custkey % 350 AS DOUBLE) centre")
     # Of centres at one place the first is the nearest to any point.
     centres = centres.groupBy("page", "centre").agg(F.min("column").alias("column"))
     return geometry.nearest(points, centres, ["page"]).select("page", "id", "column")
@@ -238,7 +223,7 @@ def sorted_sets(spark: SparkSession, d: str) -> DataFrame:
 SELECT p_partkey, label, CAST(row_number() OVER (ORDER BY list_transform(string_split(label, '.'), lambda z: CAST(z AS INT)), p_partkey) AS INT) AS place FROM x""")
 def label_order(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "part").select("p_partkey", F.concat((F.col("p_size") % 9).cast("string"), F.lit("."), (F.col("p_partkey") % 13).cast("string")).alias("label"))
-    return x.withColumn("place", F.row_number().over(Window.orderBy(kernel.label_key(F.col("label")), "p_partkey")))
+    return multiset.numbered(x.withColumn("k", kernel.label_key(F.col("label"))), ["k", "p_partkey"], ["k"], "place").select("p_partkey", "label", F.col("place").cast("int").alias("place"))
 
 
 @query(r"""SELECT o_orderkey, kind || ' ' || number AS label, CASE WHEN kind <> 'Exercise' THEN CAST(split_part(number, '.', 1) AS INT) ELSE -1 END AS chapter,

@@ -16,10 +16,10 @@ def _boxes(sf_dir):
     lines, boxes = defaultdict(list), defaultdict(list)
     for o, p, s, n in li[["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]].itertuples(index=False):
         x, y = p % 400, s * 7 % 700
-        lines[o % 50].append((((o * 100003 + p) * 1009 + s) * 10 + n, x, y, x + 30 + n * 9, y + 12))
+        lines[o % 500].append((((o * 100003 + p) * 1009 + s) * 10 + n, x, y, x + 30 + n * 9, y + 12))
     for o, c in orders[["o_orderkey", "o_custkey"]].itertuples(index=False):
         x, y = c % 350, o * 13 % 650
-        boxes[o % 50].append((o, x, y, x + 60, y + 25))
+        boxes[o % 500].append((o, x, y, x + 60, y + 25))
     return lines, boxes
 
 
@@ -38,21 +38,21 @@ def test_all_boxes(spark, sf_dir):
             if scores and -min(scores)[0] > 0.5:
                 owner.add((page, i, min(scores)[1]))
     got = lambda name, *c: {tuple(r) for r in QUERIES[name](spark, sf_dir).select(*c).collect()}
-    assert got("spatial_overlap_join_all", "page", "id", "box") == over and any(k % 20 for _, _, k in over)
-    assert got("box_owner_all", "page", "id", "box") == owner
-    assert got("box_containment_all", "page", "id") == within
+    assert got("spatial_overlap_join", "page", "id", "box") == over and any(k % 20 for _, _, k in over)
+    assert got("box_owner", "page", "id", "box") == owner
+    assert got("box_containment", "page", "id") == within
 
 
 def test_all_columns(spark, sf_dir):
     li, orders = _tables(sf_dir)
     centres = defaultdict(list)
     for o, c in orders[["o_orderkey", "o_custkey"]].itertuples(index=False):
-        centres[o % 50].append((c % 350, o))
+        centres[o % 500].append((c % 350, o))
     best = {}
     for o, p, n in li[["l_orderkey", "l_partkey", "l_linenumber"]].itertuples(index=False):
-        near = min(((abs(p % 400 - x), k) for x, k in centres[o % 50]), default=(26, 0))
+        near = min(((abs(p % 400 - x), k) for x, k in centres[o % 500]), default=(26, 0))
         if near[0] < 26:
-            best[o % 50, o * 10 + n] = min(near, best.get((o % 50, o * 10 + n), near))
+            best[o % 500, o * 10 + n] = min(near, best.get((o % 500, o * 10 + n), near))
     want = {(page, i, k) for (page, i), (_, k) in best.items()}
-    assert {tuple(r) for r in QUERIES["nearest_column_all"](spark, sf_dir).select("page", "id", "column").collect()} == want
+    assert {tuple(r) for r in QUERIES["nearest_column"](spark, sf_dir).select("page", "id", "column").collect()} == want
     assert any(k % 300 for _, _, k in want)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collatio.operators import multiset
@@ -158,3 +158,9 @@ def progress(chapters: DataFrame, results: DataFrame, keys: Sequence[str]) -> Da
     r = results.groupBy(*keys).agg(passing.alias("passed"), F.bool_or(F.col("status") == "FAIL").alias("f"))
     status = F.when(F.col("passed") == len(GATES), "green").when(F.col("f"), "failing").when(F.col("passed").isNotNull() | F.col("started"), "in progress").otherwise("not started")
     return chapters.join(r, list(keys), "left").select(*keys, F.coalesce("passed", F.lit(0)).alias("gates_passed"), status.alias("status"))
+
+
+def details(found: DataFrame, keys: Sequence[str], order: str, most: int) -> DataFrame:
+    """The first rows of each key, with their place: what a gate's report lists beside its counts."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)

@@ -298,6 +298,13 @@ def lost_numbers(ours: DataFrame, theirs: DataFrame, keys: Sequence[str]) -> Dat
     return multiset.difference(b, each, [*keys, "source"], "number").where("missing > 0").select(*keys, "source", "number", "missing")
 
 
+def affected_pages(lost: DataFrame, theirs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, source and the pages on which an extractor has a number that we lost."""
+    n = F.array_distinct(kernel.numbers(kernel.repair_decimals(F.col("text"))))
+    rows = theirs.select(*keys, "source", "page", F.explode(n).alias("number"))
+    return rows.join(lost.select(*keys, "source", "number").distinct(), [*keys, "source", "number"], "left_semi").select(*keys, "source", "page").distinct()
+
+
 def references(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Numbered references and citations in block texts, with the place each points to, in order."""
     bare = kernel.without_citations(F.col("text"))
@@ -349,4 +356,4 @@ def reading_order(found: DataFrame, keys: Sequence[str]) -> DataFrame:
 def block_ids(found: DataFrame, keys: Sequence[str] = ("book_id",)) -> DataFrame:
     """Blocks with ids such as ch02-b0001, in the order in which they were made."""
     w = Window.partitionBy(*keys, "chapter").orderBy("block_no")
-    return found.withColumn("id", F.concat(kernel.chapter_id(F.col("chapter")), F.lit("-b"), F.lpad(F.row_number().over(w).cast("string"), 4, "0")))
+    return found.withColumn("id", F.concat(kernel.chapter_id(F.col("chapter")), F.lit("-b"), F.format_string("%04d", F.row_number().over(w))))

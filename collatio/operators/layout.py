@@ -13,7 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collatio.functions import kernel
@@ -26,7 +26,6 @@ LINE = "line_no int, text string, size double, x0 double, y0 double, x1 double,
 OPENER = re.compile(r"\([a-z]\)\s+")
 PAYOFF = re.compile(rf"{kernel.PAYOFF_PART}(?:\s*,\s*{kernel.PAYOFF_PART}){{1,2}}")
 PADDED = re.compile(rf"{kernel.SIGN}0{{2,}}")
-DECIMAL = re.compile(rf"\(?{kernel.SIGN}(?:\d+\.\d+|\.\d+)\)?")
 
 
 def lines_of_glyphs(glyphs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -219,16 +218,13 @@ class Grids:
         text = self.lines["text"].str.strip()
         self.payoff = text.map(lambda t: bool(PAYOFF.fullmatch(t)) and not any(PADDED.fullmatch(p.strip()) for p in t.split(","))).to_numpy(bool)
         faces = lambda hints: self.lines["fonts"].map(lambda fs: any(h in f for f in fs for h in hints)).to_numpy(bool)
-        self.italic = faces(kernel.ITALIC_FACES)
         self.cell = self.payoff & faces(kernel.MATH_FACES)
-        self.name = ~self.payoff & ~text.map(lambda t: bool(DECIMAL.fullmatch(t))).to_numpy(bool) & (self.italic | (text.str.len() <= kernel.HEADER_LETTERS).to_numpy(bool))
-        self.player = ~self.payoff & (~self.italic | (text.str.len() <= 3).to_numpy(bool))
         self.x0, self.y0, self.x1, self.y1 = (self.lines[c].to_numpy(float) for c in ("x0", "y0", "x1", "y1"))
         self.mid = (self.x0 + self.x1) / 2
         self.tops, self.bottoms = figure_tops, table_bottoms
 
-    def text(self, i: int | None) -> str:
-        return re.sub(r"\s+", " ", self.lines["text"][i]).strip().replace("|", "\\|") if i is not None else ""
+    def text(self, i: int) -> str:
+        return re.sub(r"\s+", " ", self.lines["text"][i]).strip().replace("|", "\\|")
 
     def rows(self, cells: np.ndarray) -> list[np.ndarray]:
         """Cells whose tops are near that of the row's first one, from left to right."""
@@ -274,72 +270,86 @@ class Grids:
         away = np.abs(centres - x)
         return int(away.argmin()) if len(away) and away.min() < COLUMN_TOLERANCE else None
 
-    @staticmethod
-    def nearest(ok: np.ndarray, far: np.ndarray) -> int | None:
-        """Of the lines that are ok the one least far, the first of equal ones."""
-        at = np.flatnonzero(ok)
-        return int(at[far[at].argmin()]) if len(at) else None
-
-    def built(self, rows: list[np.ndarray], alone: bool) -> dict | None:
-        centres = self.centres(rows)
-        if not alone and (len(rows) < 2 or len(centres) < 2):
-            return None
-        flat = np.concatenate(rows)
-        place = {int(i): self.column(centres, self.mid[i]) for i in flat}
-        if any(c is None for c in place.values()):
-            return None
-        used = set(place)
-        left, right, top, bottom = self.x0[flat].min(), self.x1[flat].max(), self.y0[flat].min(), self.y1[flat].max()
-        side: list[int | None] = []
-        for r in rows:
-            h = self.nearest(self.name & (np.abs(self.y0 - self.y0[r[0]]) <= ROW_TOLERANCE) & (self.x1 <= self.x0[r[0]] + 2.0), -self.x1)
-            side.append(h)
-            if h is not None:
-                used.add(h)
-                left = min(left, self.x0[h])
-        above = top - self.y1
-        heads: dict[int, int] = {}
-        for i in sorted(np.flatnonzero(self.name & (above >= 0) & (above <= HEADER_GAP)).tolist(), key=lambda i: above[i]):
-            c = self.column(centres, self.mid[i])
-            if c is not None and c not in heads:
-                heads[c] = i
-        used |= set(heads.values())
-        full_heads, full_side = len(heads) == len(centres), all(h is not None for h in side)
-        if (alone and not (full_heads and full_side)) or not (heads or any(h is not None for h in side)):
-            return None
-        head_top = min([top, *(self.y0[i] for i in heads.values())])
-        gap = head_top - self.y1
-        over = self.nearest(self.player & (gap > 0) & (gap <= LABEL_GAP) & (self.mid >= left - 40) & (self.mid <= right + 40), -self.y1)
-        beside = self.nearest(self.player & (self.x1 <= left + 2.0) & (self.y1 >= top - ROW_TOLERANCE) & (self.y1 <= bottom + ROW_TOLERANCE), -self.x1)
-        used |= {i for i in (over, beside) if i is not None}
-        body = []
-        for h, r in zip(side, rows, strict=True):
-            cells = [""] * len(centres)
-            for i in r.tolist():
-                cells[place[i]] = self.text(i)
-            body.append([self.text(h), *cells])
-        players = [self.text(i) for i in (beside, over) if i is not None]
-        u = np.array(sorted(used))
-        return {
-            "cells": [[" \\ ".join(players), *(self.text(heads.get(c)) for c in range(len(centres)))], *body],
-            "row_player": self.text(beside) or None, "col_player": self.text(over) or None,
-            "x0": self.x0[u].min(), "y0": self.y0[u].min(), "x1": self.x1[u].max(), "y1": self.y1[u].max(), "line_nos": [int(n) for n in self.lines["line_no"][u]],
-        }
-
-
-MATRIX = "matrix_no int, cells array<array<string>>, row_player string, col_player string, x0 double, y0 double, x1 double, y1 double, line_nos array<int>"
+    def cells(self) -> list[dict]:
+        """The cells of all candidate grids with their row and column (null if it is near none) and the columns' middles."""
+        out = []
+        for g, (rows, alone) in enumerate(self.groups()):
+            centres = self.centres(rows)
+            out += [
+                {"grid": g, "alone": alone, "r": r, "c": self.column(centres, self.mid[i]), "n_rows": len(rows), "centres": centres.tolist(), "line_no": int(self.lines["line_no"][i])}
+                for r, row in enumerate(rows) for i in row.tolist()
+            ]
+        return out
+
+
+CELLS = "grid int, alone boolean, r int, c int, n_rows int, centres array<double>, line_no int"
+
+
+def _nearest_line(pairs: DataFrame, by: list[str], far: Column, named: str) -> DataFrame:
+    """Of the lines that are paired with a row of `by`, the least far one, the first of equal ones, as a struct."""
+    line = F.struct("line_no", "label", "x0", "y0", "x1", "y1")
+    return pairs.groupBy(*by).agg(F.min_by(line, F.struct(far.alias("far"), F.col("line_no").alias("n"))).alias(named))
 
 
 def matrices(lines: DataFrame, keys: Sequence[str], tops: str = "figure_tops", bottoms: str = "table_bottoms") -> DataFrame:
-    """The payoff grids of pages; `tops` and `bottoms` are columns with where the page's captions begin and end."""
+    """The payoff grids of pages; `tops` and `bottoms` are columns with where the page's captions begin and end.
+
+    Cells are gathered into grids page by page. What stands beside and above a grid is found by joins of its rows and
+    columns with the page's lines: a name for each row and column, and then the two players outside them.
+    """
+    k = list(keys)
 
     def run(pdf: pd.DataFrame) -> list[dict]:
         ends = [pdf[c].iloc[0] if c in pdf else None for c in (tops, bottoms)]
-        grids = Grids(pdf, *(list(e) if e is not None else [] for e in ends))
-        found = [g for g in (grids.built(rows, alone) for rows, alone in grids.groups()) if g is not None]
-        return [g | {"matrix_no": k} for k, g in enumerate(found)]
+        return Grids(pdf, *(list(e) if e is not None else [] for e in ends)).cells()
 
-    return by_page(lines, keys, run, MATRIX)
+    short = F.length(kernel.strip(F.col("text")))
+    payoff, italic = kernel.is_payoff(F.col("text")), kernel.is_italic(F.col("fonts"))
+    here = lines.select(
+        *k, "line_no", kernel.clean_cell(F.col("text")).alias("label"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")), ((F.col("x0") + F.col("x1")) / 2).alias("mid"),
+        (~payoff & ~kernel.is_bare_decimal(F.col("text")) & (italic | (short <= kernel.HEADER_LETTERS))).alias("names"), (~payoff & (~italic | (short <= 3))).alias("plays"),
+    )
+    cells = by_page(lines, k, run, CELLS).join(here, [*k, "line_no"])
+    one = [*k, "grid"]
+    grids = (
+        cells.groupBy(*one, "alone", "n_rows", "centres").agg(F.min("x0").alias("left"), F.max("x1").alias("right"), F.min("y0").alias("top"), F.max("y1").alias("bottom"), F.count_if(F.col("c").isNull()).alias("__astray"), F.array_sort(F.collect_list(F.struct("r", F.col("x0").alias("x"), "c", "label"))).alias("body"))
+        .where((F.col("__astray") == 0) & (F.col("alone") | ((F.col("n_rows") >= 2) & (F.size("centres") >= 2)))).drop("__astray")
+    )
+    named = here.where("names").drop("names", "plays")
+    edges = cells.groupBy(*one, "r").agg(F.min_by(F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")), F.struct("x0", "line_no")).alias("edge"))
+    level = edges.join(named, k).where((F.abs(F.col("y0") - F.col("edge.y")) <= ROW_TOLERANCE) & (F.col("x1") <= F.col("edge.x") + 2.0))
+    row_names = _nearest_line(level, [*one, "r"], -F.col("x1"), "name")
+    above = F.col("top") - F.col("y1")
+    column = F.array_min(F.transform("centres", lambda c, i: F.struct(F.abs(c - F.col("mid")).alias("away"), i.alias("c"))))
+    over = grids.select(*one, "top", "centres").join(named, k).where((above >= 0) & (above <= HEADER_GAP)).withColumn("__at", column).where(F.col("__at.away") < COLUMN_TOLERANCE).withColumn("c", F.col("__at.c"))
+    column_names = _nearest_line(over, [*one, "c"], above, "name")
+    gathered = lambda found, at, name: found.groupBy(*one).agg(F.array_sort(F.collect_list(F.struct(at, "name"))).alias(name))
+    none = lambda name, of: F.coalesce(name, F.array().cast(of.schema[name].dataType)).alias(name)
+    by_row, by_column = gathered(row_names, "r", "side"), gathered(column_names, "c", "heads")
+    named_grids = grids.join(by_row, one, "left").join(by_column, one, "left").select(*grids.columns, none("side", by_row), none("heads", by_column))
+    both = (F.size("side") == F.col("n_rows")) & (F.size("heads") == F.size("centres"))
+    named_grids = named_grids.where(F.when(F.col("alone"), both).otherwise((F.size("side") > 0) | (F.size("heads") > 0)))
+    named_grids = named_grids.withColumn("left", F.least("left", F.array_min(F.col("side.name.x0")))).withColumn("head_top", F.least("top", F.array_min(F.col("heads.name.y0"))))
+    outside = named_grids.select(*one, "left", "right", "top", "bottom", "head_top").join(here.where("plays").drop("names", "plays"), k)
+    gap = F.col("head_top") - F.col("y1")
+    upper = _nearest_line(outside.where((gap > 0) & (gap <= LABEL_GAP) & F.col("mid").between(F.col("left") - 40, F.col("right") + 40)), one, gap, "over")
+    lower = _nearest_line(outside.where((F.col("x1") <= F.col("left") + 2.0) & F.col("y1").between(F.col("top") - ROW_TOLERANCE, F.col("bottom") + ROW_TOLERANCE)), one, -F.col("x1"), "beside")
+    whole = named_grids.join(upper, one, "left").join(lower, one, "left")
+    label = lambda found, at, n: F.coalesce(F.get(F.filter(found, lambda v: v[at] == n), F.lit(0))["name"]["label"], F.lit(""))
+    places = F.sequence(F.lit(0), F.size("centres") - 1)
+    cell = lambda r, c: F.coalesce(F.try_element_at(F.filter("body", lambda v: (v["r"] == r) & (v["c"] == c)), F.lit(-1))["label"], F.lit(""))
+    body = F.transform(F.sequence(F.lit(0), F.col("n_rows") - 1), lambda r: F.concat(F.array(label("side", "r", r)), F.transform(places, lambda c: cell(r, c))))
+    corner = F.concat_ws(" \\ ", F.col("beside.label"), F.col("over.label"))
+    table = F.concat(F.array(F.concat(F.array(corner), F.transform(places, lambda c: label("heads", "c", c)))), body)
+    lines_of = cells.groupBy(*one).agg(F.collect_list(F.struct("line_no", "label", "x0", "y0", "x1", "y1")).alias("own"))
+    some = lambda c: F.when(F.col(c).isNull(), F.array().cast(lines_of.schema["own"].dataType)).otherwise(F.array(c))
+    whole = whole.join(lines_of, one).withColumn("used", F.concat("own", F.col("side.name"), F.col("heads.name"), some("over"), some("beside")))
+    number = F.row_number().over(Window.partitionBy(*k).orderBy("grid")) - 1
+    blank = lambda c: F.nullif(F.col(f"{c}.label"), F.lit(""))
+    return whole.select(
+        *k, number.cast("int").alias("matrix_no"), table.alias("cells"), blank("beside").alias("row_player"), blank("over").alias("col_player"),
+        F.array_min("used.x0").alias("x0"), F.array_min("used.y0").alias("y0"), F.array_max("used.x1").alias("x1"), F.array_max("used.y1").alias("y1"), F.array_sort(F.array_distinct("used.line_no")).alias("line_nos"),
+    )
 
 
 def payoff_census(lines: DataFrame, keys: Sequence[str], tops: str = "figure_tops", bottoms: str = "table_bottoms") -> DataFrame:

@@ -3,10 +3,12 @@
 import ast
 from pathlib import Path
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from collatio.functions import kernel
-from collatio.operators import aggregates, contents, gates, geometry, multiset, reconcile
+from collatio.operators import aggregates, contents, emit, gates, geometry, multiset, reconcile
 from collatio.sources import readers, sinks
 from collatio.streaming import incremental
 
@@ -148,3 +150,48 @@ def test_nothing_else_imports_llm():
         for node in ast.walk(ast.parse(f.read_text())):
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
             assert not any("llm" in n for n in names), f
+
+
+def test_entries_that_wrap(spark):
+    """A continuation may look like an entry itself; a page number stands apart; Roman ones may be capitals."""
+    lines = ["1.2 Games of   ", "2 Players and More   33", "1.3 Version 1.5", "of it   40", "Preface   IX", "Contents", "1.4 Last one   50"]
+    df = spark.createDataFrame([("b", i, t) for i, t in enumerate(lines)], "book_id string, line_no int, text string")
+    got = [r.text for r in contents.joined_entries(df).orderBy("line_no").collect()]
+    assert got == ["1.2 Games of 2 Players and More   33", "1.3 Version 1.5 of it   40", "Preface   IX", "Contents", "1.4 Last one   50"]
+
+
+def test_ordinals_before_titles(spark):
+    df = spark.createDataFrame([("III. Games", "Games"), ("6 – Games", "Games"), ("Chapter 6 Games", "Games"), ("12: Games", "Games"), ("Games", "Games"), ("Other Games", "Games")], "c string, t string")
+    got = [r[0] for r in df.select(contents.title_score(F.col("c"), F.col("t"))).collect()]
+    assert all(s >= contents.MATCH for s in got[:5]) and got[5] < contents.MATCH
+
+
+def test_boundary_map_fails_without_its_parts(spark):
+    lines = [("b", p, n, t, s) for p, n, t, s in [(3, 0, "Preface", 20.0), (5, 0, "One", 20.0), (9, 0, "Index", 20.0)]] + [("b", p, n, "text", 10.0) for p in range(3, 11) for n in range(1, 5)]
+    toc = [("b", 1, "1  One     1")]
+
+    def found(lines, toc):
+        return contents.boundary_map(spark.createDataFrame(lines, "book_id string, page int, line_no int, text string, size double"), spark.createDataFrame(toc, "book_id string, line_no int, text string")).orderBy("number").collect()
+
+    assert [(r.number, r.title, r.pdf_page, r.pdf_page_end) for r in found(lines, toc)] == [(0, "Preface", 3, 4), (1, "One", 5, 8)]
+    for bad, contents_of in ((lines[1:], toc), (lines, [("b", 1, "nothing")]), (lines, [*toc, ("b", 2, "2  Two     9")])):
+        with pytest.raises(Exception, match="no preface|no chapter|begins on no page"):
+            found(bad, contents_of)
+
+
+def test_citations_of_other_books_stay(spark):
+    texts = spark.createDataFrame([("a", 1, "see [7] and Section 1.2"), ("b", 1, "see [7] and Section 1.2"), ("c", 1, "see [7]")], "book_id string, id int, text string")
+    places = spark.createDataFrame([("b", "Section", "1.2", "p", "sec-1-2")], "book_id string, kind string, label string, path string, anchor string")
+    entries = spark.createDataFrame([("a", 7), ("b", 8)], "book_id string, number int")
+    out, unresolved = emit.linked(texts, places, entries, ["book_id"])
+    got = {r.book_id: r.text for r in out.collect()}
+    assert "ref-7" in got["a"] and "sec-1-2" not in got["a"] and "ref-7" not in got["b"] and "sec-1-2" in got["b"] and got["c"] == "see [7]"
+    assert {(r.book_id, r.reason) for r in unresolved.collect()} == {("a", "target_not_emitted"), ("c", "no_bibliography")}
+
+
+def test_many_starts_are_looked_up_alike(spark, monkeypatch):
+    rows = spark.range(200).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    starts = spark.createDataFrame([(k, 10 * i + k, i) for k in (0, 1) for i in range(8)], "k long, s long, number int")
+    few = geometry.intervals(rows, starts, "v", "s", ["k"]).collect()
+    monkeypatch.setattr(geometry, "FEW_STARTS", 3)
+    assert sorted(map(tuple, few), key=str) == sorted(map(tuple, geometry.intervals(rows, starts, "v", "s", ["k"]).collect()), key=str)

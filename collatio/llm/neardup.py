@@ -321,16 +321,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 
 
 def _with_key(rows: DataFrame, found: DataFrame, total: int) -> DataFrame:
-    """Rows (key, rep, ...) with the n of their key in `found` (key, n); rows of other keys go.
+    """Rows (key, rep, ...) with what `found` (key, n, ...) has of their key; rows of other keys go.
 
-    Keys of a large group are few, and broadcast, so that no task gets all rows of one.
+    n is how many rows have the key. Keys of many are few, and broadcast, so that no task gets all rows of one.
     """
+    held = F.struct(*(c for c in found.columns if c != "key"))
     much = F.col("n") > max(BLOCK, int(total * HOT))
-    hot = F.broadcast(found.where(much).select("key", F.col("n").alias("n1")))
-    cold = found.where(~much).select(F.col("key").alias("k2"), F.col("n").alias("n2"))
-    dealt = rows.join(hot, "key", "left").withColumn("k1", F.when(F.col("n1").isNull(), F.col("key")).otherwise(F.xxhash64("rep")))
-    both = dealt.join(cold, (F.col("k1") == F.col("k2")) & F.col("n1").isNull(), "left")
-    return both.withColumn("n", F.coalesce("n1", "n2")).where("n is not null").drop("n1", "k1", "k2", "n2")
+    hot = F.broadcast(found.where(much).select("key", held.alias("f1")))
+    cold = found.where(~much).select(F.col("key").alias("k2"), held.alias("f2"))
+    dealt = rows.join(hot, "key", "left").withColumn("k1", F.when(F.col("f1").isNull(), F.col("key")).otherwise(F.xxhash64("rep")))
+    both = dealt.join(cold, (F.col("k1") == F.col("k2")) & F.col("f1").isNull(), "left").withColumn("f", F.coalesce("f1", "f2"))
+    return both.where("f is not null").select(*rows.columns, "f.*")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id", certain: bool = False) -> DataFrame:
@@ -397,8 +398,8 @@ def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     marked = docs.withColumn("__node", F.when(id_.isNotNull(), F.xxhash64(id_, F.col("text").cast("string"))))
     found = near_duplicates(marked, k, percent, key="__node").where("doc_id is not null").select(F.col("doc_id").alias("__node"), "component_id").distinct()
     nodes = staged(found.join(marked.where("__node is not null").select("__node", id_.alias("__id")).distinct(), "__node"), "neardup-nodes")
-    first = nodes.groupBy("component_id").agg(F.min(F.struct("__id", "__node")).alias("first"))
-    gone = nodes.join(first, "component_id").where(F.col("__node") != F.col("first.__node")).select("__node")
+    groups = nodes.groupBy(F.col("component_id").alias("key")).agg(F.count("*").alias("n"), F.min(F.struct("__id", "__node"))["__node"].alias("first")).where("n > 1")
+    gone = _with_key(nodes.select(F.col("component_id").alias("key"), F.col("__node").alias("rep")), staged(groups, "neardup-groups"), nodes.count()).where("rep <> first").select(F.col("rep").alias("__node"))
     rest = marked.join(gone, "__node", "left_anti")
     named = rest.where("__node is not null").groupBy("__node").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in names))).alias("__row")).select("__row.*")
     return named.unionByName(rest.where("__node is null").select(*(F.col(f"`{c}`") for c in names)))

@@ -114,8 +114,10 @@ def nearest(points: DataFrame, centres: DataFrame, keys: Sequence[str], at: str
     wide = lambda c: F.floor(c / within).cast("long")
     p = points.withColumn("__cell", F.explode(F.array(*(wide(F.col(at)) + i for i in (-1, 0, 1)))))
     pairs = p.join(centres.withColumn("__cell", wide(F.col("centre"))), [*keys, "__cell"]).withColumn("distance", F.abs(F.col(at) - F.col("centre"))).where(F.col("distance") < within)
-    w = Window.partitionBy(*keys, "id").orderBy("distance", "column")
-    return pairs.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r", "__cell")
+    rest = [c for c in pairs.columns if c not in (*keys, "id", "__cell")]
+    # The best is kept before anything is shuffled.
+    best = pairs.groupBy(*keys, "id").agg(F.min_by(F.struct(*rest), F.struct("distance", "column")).alias("__best"))
+    return best.select(*keys, "id", "__best.*")
 
 
 def first_claims(figures: DataFrame, captions: DataFrame, keys: Sequence[str], below: float = 12.0) -> DataFrame:

@@ -127,7 +127,7 @@ def _soup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {GATES_SQL} SELECT g.lang, CASE WHEN bool_or(hard AND status = 'FAIL') THEN 'FAIL' WHEN bool_or(hard AND status = 'BLOCKED') THEN 'BLOCKED' WHEN g.lang IN (SELECT lang FROM q) THEN 'REVIEW' ELSE 'PASS' END AS status FROM g GROUP BY g.lang")
 def gate_status_rollup(spark: SparkSession, d: str) -> DataFrame:
-    g = _gate_rows(spark, d)
+    g = _gate_rows(spark, d).cache()  # three rows a language, read twice
     return gates.chapter_status(g, gates.review_queue(_soup(spark, d), g, ["lang"]), ["lang"])
 
 
@@ -138,7 +138,7 @@ def review_queue(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {GATES_SQL} SELECT lang, CAST(count(*) FILTER (WHERE status IN ('PASS', 'REVIEWED')) AS BIGINT) AS gates_passed, CASE WHEN bool_or(status = 'FAIL') THEN 'failing' ELSE 'in progress' END AS status FROM g GROUP BY lang")
 def progress_status(spark: SparkSession, d: str) -> DataFrame:
-    g = _gate_rows(spark, d)
+    g = _gate_rows(spark, d).cache()  # three rows a language, read twice
     return gates.progress(g.select("lang").distinct().withColumn("started", F.lit(True)), g, ["lang"])
 
 

@@ -64,7 +64,7 @@ def compared(spark: SparkSession, d: str, items: Column, of_line, keep: Sequence
     row; more of it is found by a join that sends back each document's own boilerplate lines.
     """
     docs = documents(spark, d)
-    known = boilerplate(spark, d).select("line")
+    known = boilerplate(spark, d).select("line").cache()  # counted first, then sent to the documents
     if known.limit(multiset.FEW + 1).count() <= FEW_LINES:
         rows = docs.join(F.broadcast(known.agg(F.collect_set("line").alias("__known"))))
     else:

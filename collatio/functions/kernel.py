@@ -28,6 +28,9 @@ TOKEN = r"[\p{L}\p{N}]+"
 CITATION = rf"\[[{WHITE}]*(?U:\d){{1,3}}(?:[{WHITE}]*,[{WHITE}]*(?U:\d){{1,3}})*[{WHITE}]*\]"
 NUMBER = r"(?U)(?<![\w.])(?:\d+(?:\.\d+)?|\.\d+)(?:st|nd|rd|th)?(?!\w)"
 BARE_NUMBER = r"(?U)^[-\u2212]?\d+(?:\.\d+)?$"
+NUMBER_PAIR = rf"\p{{Nd}}[{WHITE}]+[-\u2212]?\p{{Nd}}"
+WORDS_ACROSS = rf"[\p{{L}}\p{{N}}_][\u00AD\-][{WHITE}]*\n[{WHITE}]*[\p{{L}}\p{{N}}_]"
+NUMBERS_ACROSS = rf"{WORDS_ACROSS}|\[[{WHITE}\p{{Nd}},]*\n"
 HYPHENATED = r"(?U)\b[A-Za-z]{2,}-[A-Za-z]{2,}\b"
 FOLIO = r"^(?i:\d{1,4}|[ivxlcdm]{1,7})$"
 NO_CAPTION = "Figure from the text; see the surrounding discussion."
@@ -126,6 +129,12 @@ def tokens(text: Column) -> Column:
     return tokens_of(normal(text))
 
 
+def n_tokens(text: Column) -> Column:
+    """How many tokens: they are runs of letters and digits before and after normalisation, but for a line end that joins and a capital that falls apart."""
+    changed = text.contains("\n") | text.contains("\u0130")
+    return F.when(changed, F.size(tokens(text))).otherwise(F.regexp_count(text, F.lit(TOKEN)))
+
+
 def citations(text: Column) -> Column:
     """The numbers in bracketed citations, in order."""
     found = F.regexp_extract_all(text, F.lit(CITATION), F.lit(0))
@@ -138,9 +147,10 @@ def without_citations(text: Column) -> Column:
 
 def canonical_number(literal: Column) -> Column:
     """Without ordinal ending, with a leading zero, without zeros at the end of decimals."""
+    plain = ~literal.contains(".") & F.right(literal, F.lit(1)).between("0", "9")
     bare = F.regexp_replace(literal, "(?i)(?:st|nd|rd|th)$", "")
     whole = F.when(bare.startswith("."), F.concat(F.lit("0"), bare)).otherwise(bare)
-    return F.when(whole.contains("."), F.regexp_replace(F.regexp_replace(whole, "0+$", ""), r"\.$", "")).otherwise(whole)
+    return F.when(plain, literal).when(whole.contains("."), F.regexp_replace(F.regexp_replace(whole, "0+$", ""), r"\.$", "")).otherwise(whole)
 
 
 def numbers_of(normal_text: Column, drop_citations: bool = True) -> Column:
@@ -153,6 +163,10 @@ def numbers(text: Column, drop_citations: bool = True) -> Column:
     return numbers_of(normal(text), drop_citations)
 
 
+def n_numbers(text: Column) -> Column:
+    return F.when(text.rlike(r"\p{Nd}"), F.size(numbers(text))).otherwise(0)
+
+
 def integer_soup_ratio(text: Column) -> Column:
     """The share of fields that are bare numbers; 0 without fields."""
     f = fields(text)
@@ -160,10 +174,14 @@ def integer_soup_ratio(text: Column) -> Column:
 
 
 def is_integer_soup(text: Column, min_run: int = SOUP_FIELDS, ratio: float = SOUP_RATIO) -> Column:
-    """Whether a run of text is tick labels and the like rather than prose."""
+    """Whether a run of text is tick labels and the like rather than prose.
+
+    Where over two thirds of six fields or more are numbers, two stand side by side: without such a pair no field is looked at.
+    """
     bare = F.filter(fields(text), lambda x: x.rlike(BARE_NUMBER))
     commonest = F.coalesce(F.array_max(F.transform(F.array_distinct(bare), lambda v: F.size(F.filter(bare, lambda x: x == v)))), F.lit(0))
-    return (F.size(fields(text)) >= min_run) & (integer_soup_ratio(text) >= ratio) & ~text.rlike(rf"[.!?;:][{WHITE}]") & ((F.size(bare) == 0) | (commonest / F.size(bare) <= SOUP_REPEAT))
+    soup = (F.size(fields(text)) >= min_run) & (integer_soup_ratio(text) >= ratio) & ~text.rlike(rf"[.!?;:][{WHITE}]") & ((F.size(bare) == 0) | (commonest / F.size(bare) <= SOUP_REPEAT))
+    return F.when(~text.rlike(NUMBER_PAIR), F.lit(False)).otherwise(soup) if min_run >= 6 and ratio > 2 / 3 else soup
 
 
 def is_letter_soup(text: Column, min_letters: int = LETTER_SOUP_LETTERS, max_distinct: int = LETTER_SOUP_DISTINCT) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +51,27 @@ def recurring(df: DataFrame, key: Column, unit: str, at_least: int = MIN_REPEATS
     return df.select(key.alias(name), unit).distinct().groupBy(name).agg(F.count("*").alias("n_units")).where(F.col("n_units") >= at_least)
 
 
+def recurring_reasons(df: DataFrame, key: str, unit: str, only_known: Mapping[str, bool], known: str | None = None, keys: Sequence[str] = (), at_least: int = MIN_REPEATS) -> DataFrame:
+    """keys, reason and n of rows (key, unit, reason), of which some reasons count only in keys that come up in several units (True) or only in others (False where `known` is given).
+
+    `known` is the reason of all rows of such keys. Rows are counted by key and unit and then by key, so those of a
+    frequent key are few before they come together.
+    """
+    reasons = list(only_known)
+    each = [F.count_if(F.col("reason") == r).alias(f"__n{i}") for i, r in enumerate(reasons)]
+    sums = lambda *names: [F.sum(n).alias(n) for n in names]
+    names = [f"__n{i}" for i in range(len(reasons))]
+    units = df.groupBy(key, unit, *keys).agg(*each, F.count("*").alias("__all"))
+    counts = units.groupBy(key, *keys).agg(F.count(unit).alias("__units"), *sums(*names, "__all"))
+    several = (F.sum("__units").over(Window.partitionBy(key)) if keys else F.col("__units")) >= at_least
+    counts = counts.withColumn("__several", several)
+    taken = [F.when(F.col("__several"), F.col(n)).otherwise(0) if only_known[r] else F.when(~F.col("__several"), F.col(n)).otherwise(0) if known else F.col(n) for n, r in zip(names, reasons, strict=True)]
+    found = [F.struct(F.lit(r).alias("reason"), F.sum(t).alias("n")) for r, t in zip(reasons, taken, strict=True)]
+    found += [F.struct(F.lit(known).alias("reason"), F.sum(F.when(F.col("__several"), F.col("__all")).otherwise(0)).alias("n"))] if known else []
+    rows = counts.groupBy(*keys).agg(F.array(*found).alias("__found"))
+    return rows.select(*keys, F.explode("__found").alias("__f")).select(*keys, "__f.reason", "__f.n").where("n > 0")
+
+
 def edge_cluster(df: DataFrame, keys: Sequence[str], top: str, bottom: str, order: str, gap: float = CLUSTER_GAP) -> DataFrame:
     """keys and extent: how far the intervals that hang together from the first one reach, before a gap over `gap`."""
     w = Window.partitionBy(*keys).orderBy(top, order)

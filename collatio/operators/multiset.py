@@ -68,13 +68,15 @@ def only_left(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
     return left.select(*on).distinct().join(right.select(*on), list(on), "left_anti")
 
 
-def within(df: DataFrame, reference: Column, candidate: Column, keys: Sequence[str]) -> DataFrame:
+def within(df: DataFrame, reference: Column, candidate: Column, keys: Sequence[str], without: Column | None = None) -> DataFrame:
     """keys, total, missing and extra of each row, whose two lists of items are compared as bags within the row.
 
+    Items of `without` are taken out of the candidate's, which has to hold them.
+
     The sorted items of both sides, each with a sign, are summed up by runs, so nothing is shuffled and no side is searched.
     """
     sign = lambda c, n: F.transform(c, lambda x: F.struct(x.alias("x"), F.lit(n).alias("n")))
-    both = F.array_sort(F.concat(sign(reference, 1), sign(candidate, -1)))
+    both = F.array_sort(F.concat(sign(reference, 1), sign(candidate, -1), *([] if without is None else [sign(without, 1)])))
     start = F.struct(F.lit(None).cast("string").alias("x"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("missing"), F.lit(0).cast("long").alias("extra"))
 
     def step(a: Column, c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.functions import kernel, markdown
-from collatio.operators import contents, emit, equations, gates, geometry, multiset, reconcile
+from collatio.operators import aggregates, contents, emit, equations, gates, geometry, multiset, reconcile
 from collatio.plans import tables, text
 from collatio.plans.registry import query
 from collatio.session import table
@@ -261,15 +261,10 @@ r AS (SELECT lang, CASE WHEN known THEN 'boilerplate' WHEN line_no = 1 AND lengt
 SELECT lang, reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY ALL""")
 def removed_by_reason(spark: SparkSession, d: str) -> DataFrame:
     """Why lines are no reference text, the first reason of each, and how many each reason takes."""
-    x = text.lines(spark, d).join(text.documents(spark, d).select("doc_id", "lang"), "doc_id").withColumn("mask", kernel.mask(F.col("line")))
-    from collatio.operators import aggregates
-
-    known = aggregates.recurring(x, F.col("mask"), "doc_id", name="mask").select("mask", F.lit("boilerplate").alias("known"))
-    # Of the lines only those that are rare are left to shuffle once the known masks are few enough to be sent to them.
-    few = known.limit(multiset.FEW + 1).count() <= multiset.FEW
-    rows = x.join(F.broadcast(known) if few else known, "mask", "left")
-    reason = reconcile.line_reason(F.col("known"), (F.col("line_no") == 1) & (F.length("line") < 40), F.lit(False), F.lit(False), F.col("line"))
-    return equations.by_reason(rows.withColumn("reason", reason).where("reason is not null"), ["lang"])
+    x = text.documents(spark, d).where("doc_id is not null").select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("p", "line"))
+    reason = reconcile.line_reason(F.lit(None).cast("string"), (F.col("p") == 0) & (F.length("line") < 40), F.lit(False), F.lit(False), F.col("line"))
+    m = x.select("doc_id", "lang", text.key_of(kernel.mask(F.col("line"))).alias("key"), reason.alias("reason"))
+    return aggregates.recurring_reasons(m, "key", "doc_id", {"chapter_opener_heading": False, "integer_soup": False}, "boilerplate", ["lang"])
 
 
 @query(f"WITH {tables.GATES_SQL} SELECT '| ' || lang || ' | ' || kind || ' | ' || substr(replace(what, '|', '\\|'), 1, 180) || ' |' AS row FROM q")
@@ -323,6 +318,15 @@ k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY first) AS place
 SELECT doc_id, CAST(place AS INT) AS place, x AS token, CAST(missing AS BIGINT) AS missing FROM k WHERE place <= 10""")
 def coverage_details(spark: SparkSession, d: str) -> DataFrame:
     """The first ten words of each document that its rendering has less often."""
-    r = multiset.bag(text.documents(spark, d), kernel.tokens(F.col("text")), ["doc_id"])
-    c = multiset.bag(text.stripped(spark, d), kernel.tokens(F.col("line")), ["doc_id"])
-    return gates.details(multiset.difference(r, c, ["doc_id"]).where("missing > 0"), ["doc_id"], "first_pos", 10).select("doc_id", "place", "token", F.col("missing").cast("long").alias("missing"))
+    docs, known = text.documents(spark, d), text.known_lines(spark, d)
+    joined = F.col("text").rlike(kernel.WORDS_ACROSS)
+    # Where no line end joins words, exactly the words of dropped lines are missing, and they are found within the row.
+    own = text.own_lines(docs.where(~joined), known, "inner").select("doc_id", kernel.tokens(F.col("text")).alias("t"), F.flatten(F.transform("dropped", kernel.tokens)).alias("lost"))
+    first = own.select("doc_id", "lost", F.slice(F.array_intersect("t", "lost"), 1, 10).alias("w")).select("doc_id", "lost", F.posexplode("w").alias("p", "token"))
+    plain = first.select("doc_id", (F.col("p") + 1).alias("place"), "token", F.size(F.filter("lost", lambda x: x == F.col("token"))).cast("long").alias("missing"))
+    rest = docs.where(joined)
+    r = multiset.bag(rest, kernel.tokens(F.col("text")), ["doc_id"])
+    kept = rest.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).withColumn("key", text.key_of(F.col("line"))).join(known, "key", "left_anti")
+    c = multiset.bag(kept, kernel.tokens(F.col("line")), ["doc_id"])
+    others = gates.details(multiset.difference(r, c, ["doc_id"]).where("missing > 0"), ["doc_id"], "first_pos", 10)
+    return plain.unionByName(others.select("doc_id", "place", "token", F.col("missing").cast("long").alias("missing")))

@@ -294,8 +294,9 @@ def lost_numbers(ours: DataFrame, theirs: DataFrame, keys: Sequence[str]) -> Dat
     """Numbers (text) that an extractor has oftener than we, by source: one direction only, over a whole chapter."""
     a = multiset.bag(ours, kernel.numbers(F.col("text")), keys, "number")
     b = multiset.bag(theirs, kernel.numbers(kernel.repair_decimals(F.col("text"))), [*keys, "source"], "number")
-    each = theirs.select(*keys, "source").distinct().join(a, list(keys))
-    return multiset.difference(b, each, [*keys, "source"], "number").where("missing > 0").select(*keys, "source", "number", "missing")
+    # Only the extractor's numbers can be lost, so ours are looked up by number and not repeated for every source.
+    both = b.select(*keys, "source", "number", "n").join(a.select(*keys, "number", F.col("n").alias("__n")), [*keys, "number"], "left")
+    return both.withColumn("missing", F.col("n") - F.coalesce("__n", F.lit(0))).where("missing > 0").select(*keys, "source", "number", "missing")
 
 
 def affected_pages(lost: DataFrame, theirs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,6 +23,8 @@ SMALL_CAPS_FACES = ("CSC", "SmallCaps", "SC10", "SC12")
 SOUP_FIELDS, SOUP_RATIO, SOUP_REPEAT = 6, 0.8, 0.5
 LETTER_SOUP_LETTERS, LETTER_SOUP_DISTINCT = 10, 3
 ALT_LIMIT = 240
+#: Characters that every Unicode normal form leaves alone wherever they stand, and that are no spacing accents.
+COMPOSED = r"\x00-\x7F\xA1-\xA7\xA9\xAB-\xAE\xB0\xB1\xB6\xB7\xBB\xBF-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u0410-\u044F\u2012-\u2016\u2018-\u2022\u2212\u3041-\u3096\u4E00-\u9FFF"
 WHITE = r"\t\n\x0B\f\r \x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 TOKEN = r"[\p{L}\p{N}]+"
 CITATION = rf"\[[{WHITE}]*(?U:\d){{1,3}}(?:[{WHITE}]*,[{WHITE}]*(?U:\d){{1,3}})*[{WHITE}]*\]"
@@ -110,7 +112,9 @@ def compatible(text: pd.Series) -> pd.Series:
 
 def exact_normal(text: Column) -> Column:
     """The form in which texts are compared, for any text."""
-    return F.lower(collapsed(compatible(_styled(_rejoined(composed(text))))))
+    # Python sees only texts with characters that composition may change.
+    odd = F.when(text.rlike(f"[^{COMPOSED}]"), text)
+    return F.coalesce(F.lower(collapsed(compatible(_styled(_rejoined(composed(odd)))))), normal(text))
 
 
 def output_form(text: Column) -> Column:

@@ -7,6 +7,8 @@ counted before they are shuffled; bags of both sides then meet on keys and item
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +51,24 @@ def top(differences: DataFrame, what: str, keys: Sequence[str], k: int, item: st
     return differences.where(F.col(what) > 0).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def commonest(df: DataFrame, items: Column, keys: Sequence[str], order: str, k: int, item: str = "token") -> DataFrame:
+    """keys, item, n and rank of the k commonest items of each key; of equal ones those that come first, then by name.
+
+    Items are counted with the first row (`order`) that has them, which needs no sort; where in its row an item stands is
+    looked up only for those that can be among the first k.
+    """
+    counted = df.select(*keys, order, F.explode(items).alias(item)).groupBy(*keys, item).agg(F.count("*").alias("n"), F.min(order).alias("__first"))
+    w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.col("__first").asc_nulls_last())
+    near = counted.withColumn("__rank", F.rank().over(w)).where(F.col("__rank") <= k).drop("__rank")
+    wanted = near.select(F.col("__first").alias(order)).distinct()
+    held = df.join(wanted, order, "left_semi").select(*keys, F.col(order).alias("__first"), F.posexplode(items).alias("__pos", item))
+    places = held.groupBy(*keys, "__first", item).agg(F.min("__pos").alias("__pos"))
+    same = [near[c].eqNullSafe(places[c]) for c in (*keys, "__first", item)]
+    found = near.join(places, reduce(and_, same), "left").select(*(near[c] for c in (*keys, item, "n", "__first")), "__pos")
+    order_ = Window.partitionBy(*keys).orderBy(F.desc("n"), F.col("__first").asc_nulls_last(), F.col("__pos").asc_nulls_last(), item)
+    return found.withColumn("rank", F.row_number().over(order_)).where(F.col("rank") <= k).drop("__first", "__pos")
+
+
 def first_difference(left: DataFrame, right: DataFrame, keys: Sequence[str], words: str = "words", around: int = 3) -> DataFrame:
     """For keys of both sides whose word arrays differ: the 0-based first place, both words there and some context.
 
